@@ -17,6 +17,9 @@ _PINV = pow(_P, -1, 1 << 64)
 _TABLE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: White space and ASCII punctuation.
+APART = _SPACE.copy()
+APART[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -87,13 +90,13 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[size]
 
 
-def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte start, byte end and text number of every word, which is a run without ASCII white space."""
+def word_spans(data: np.ndarray, at: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte start, byte end and text number of every word, which is a run without bytes of space (ASCII white space)."""
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, z
-    solid = ~_SPACE[data]
+    solid = ~space[data]
     edge = np.zeros(n + 1, bool)
     edge[at] = True
     before = np.empty(n, bool)
@@ -117,10 +120,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_hashes(data: np.ndarray, at: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, at: np.ndarray, lower: bool = False, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word and the n+1 offsets of each text's words; lower folds A-Z first."""
     data = _LOWER[data] if lower else data
-    starts, ends, doc = word_spans(data, at)
+    starts, ends, doc = word_spans(data, at, space)
     return span_hashes(data, starts, ends), np.searchsorted(doc, np.arange(len(at)), "left")
 
 

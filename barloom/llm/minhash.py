@@ -130,4 +130,4 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = classes.join(roots, classes.rep == roots.node, "left").select(*key, F.coalesce("root", "rep").alias("class_root"))
     out = sketch.drop("bands").join(classes, key, "left")
     root = F.coalesce("class_root", "doc_id")
-    return out.select("doc_id", "n_shingles", root.alias("component_id"), (F.col("doc_id") == root).alias("kept"))
+    return out.select("doc_id", "n_shingles", root.alias("component_id"), F.coalesce(F.col("doc_id") == root, F.lit(True)).alias("kept"))

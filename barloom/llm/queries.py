@@ -5,16 +5,54 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import decontam, langid, minhash, packing, secrets
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = packing.pack(_documents(spark, sf_dir))
+    return rows.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op2_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op5_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    rows = langid.identify(docs, langid.train(docs))
+    return rows.select("doc_id", langid.is_held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op9_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_documents(spark, sf_dir))
 
 
 def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .minhash import near_duplicates
+    return minhash.near_duplicates(_documents(spark, sf_dir))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
 
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op10_minhash_near_dup": op10_minhash_near_dup,
+    f.__name__: f
+    for f in (
+        op1_pack_sequences,
+        op2_latent_decontamination,
+        op5_byte_cnn_language,
+        op9_guess_cost_secrets,
+        op10_minhash_near_dup,
+        pipeline,
+    )
 }
 
 ORACLES: dict[str, str] = {}
