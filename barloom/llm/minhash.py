@@ -3,8 +3,9 @@
 One hash of each word shingle falls into one of BINS bins; a bin keeps its least value. Empty bins take the
 value of a donor bin drawn for each bin alone (optimal densification), so that bins agree with the probability
 of the sets' similarity. Bands of ROWS bins are buckets. A bucket gives star-shaped candidates: its least
-document against each other member. Members whose link to the centre fails on the full sets stay in the bucket
-for another round with another centre, until no bucket has two members, so no bucket is capped.
+document against each other member. Members that the full sets do not link to the centre are compared among
+themselves by sketches of all bins, in groups of at most GROUP; larger groups are first split by a second banding
+of the same bins. So the pairs stay bounded and no bucket is capped.
 """
 
 from __future__ import annotations
@@ -19,6 +20,11 @@ from .components import components
 
 WIDTH, BINS, ROWS = 5, 384, 6
 PERCENT = 75
+#: Members of a bucket that one task compares among themselves.
+GROUP = 400
+#: Shares of equal bins from which a pair is a candidate, and from which one link stands for a whole cluster.
+#: With 384 bins a similarity of 0.75 falls under the first with odds of one in a hundred thousand.
+NEAR, STRONG = 0.65, 0.86
 _PRIORITY = np.random.default_rng(97).random((BINS, BINS), dtype=np.float32)
 
 
@@ -55,17 +61,23 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
+def _bands(rows: np.ndarray) -> np.ndarray:
+    """Bucket keys (documents, bands) of values (documents, bands, ROWS)."""
+    keys = np.zeros(rows.shape[:2], np.uint64)
+    for j in range(rows.shape[2]):
+        keys = mix(keys * np.uint64(31) + rows[:, :, j])
+    return signed(mix(keys + np.arange(rows.shape[1], dtype=np.uint64)))
+
+
 def _sketch(batches):
-    bands = np.arange(BINS // ROWS, dtype=np.uint64)
     for part in slices(batches):
         sets = shingle_sets(*buffer_of(part.column("text")))
         sigs = np.array([signature(s) for s in sets if len(s)], np.uint64).reshape(-1, BINS // ROWS, ROWS)
-        keys = np.zeros(sigs.shape[:2], np.uint64)
-        for j in range(ROWS):
-            keys = mix(keys * np.uint64(31) + sigs[:, :, j])
-        keys = signed(mix(keys + bands))
+        keys = _bands(sigs)
         sizes = np.array([len(s) for s in sets], np.int64)
         ends = np.concatenate([[0], np.cumsum((sizes > 0) * keys.shape[1])]).astype(np.int32)
+        low = iter((sigs.reshape(-1, BINS) >> np.uint64(3)).astype(np.uint8))
+        bytes_of = [next(low).tobytes() if n else None for n in sizes.tolist()]
         yield pa.RecordBatch.from_arrays(
             [
                 part.column("doc_id"),
@@ -73,11 +85,75 @@ def _sketch(batches):
                 pa.array(signed(np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64))),
                 pa.array(signed(np.array([np.bitwise_xor.reduce(mix(s + np.uint64(7))) if len(s) else 0 for s in sets], np.uint64))),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel())),
+                pa.array(bytes_of, pa.binary()),
             ],
-            names=["doc_id", "n_shingles", "k1", "k2", "bands"],
+            names=["doc_id", "n_shingles", "k1", "k2", "bands", "sketch"],
         )
 
 
+def candidates(docs: np.ndarray, sketches: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of one group's documents that may be linked, few enough: clusters give stars, two clusters each document's best partner."""
+    order = np.argsort(docs, kind="stable")
+    docs, sketches = docs[order], sketches[order]
+    n = len(docs)
+    same = np.zeros((n, n), np.float32)
+    for i in range(n - 1):
+        same[i, i + 1 :] = (sketches[i] == sketches[i + 1 :]).mean(1)
+    same = np.maximum(same, same.T)
+    head, out = np.full(n, -1), set()
+    for i in range(n):
+        if head[i] < 0:
+            own = np.flatnonzero((head < 0) & (same[i] >= STRONG))
+            head[own], head[i] = i, i
+            out.update((i, int(j)) for j in own if j != i)
+    near = same >= NEAR
+    near &= head[:, None] != head[None, :]
+    for i in np.flatnonzero(near.any(1)).tolist():
+        js = np.flatnonzero(near[i])
+        js = js[np.lexsort((js, -same[i, js], head[js]))]
+        for j in js[np.flatnonzero(np.diff(head[js], prepend=-1))].tolist():
+            out.add((min(i, j), max(i, j)))
+    return [(int(docs[i]), int(docs[j])) for i, j in out if docs[i] != docs[j]]
+
+
+def _grouped(batches):
+    """Candidates of each bucket; a bucket's rows follow each other. Holds one batch and one group."""
+    kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def pairs(key, doc, sketch):
+        edge = np.append(np.flatnonzero(np.diff(key)) + 1, len(key))
+        lo, found = 0, []
+        for hi in edge.tolist():
+            found += candidates(doc[lo:hi], sketch[lo:hi])
+            lo = hi
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, doc = (np.asarray(batch.column(k)) for k in (0, 1))
+        sketch = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, BINS)
+        kept.append((key, doc, sketch))
+        key, doc, sketch = (np.concatenate(x) for x in zip(*kept, strict=True))
+        last = int(np.searchsorted(key, key[-1], "left"))
+        kept = [(key[last:], doc[last:], sketch[last:])]
+        if last:
+            yield from pairs(key[:last], doc[:last], sketch[:last])
+    if kept:
+        yield from pairs(*(np.concatenate(x) for x in zip(*kept, strict=True)))
+
+
+def _second_bands(batches):
+    """(bucket, doc) of a second banding: bins far apart make a band, and the old bucket stays part of the key."""
+    for batch in batches:
+        sketch = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, ROWS, BINS // ROWS)
+        keys = _bands(sketch.transpose(0, 2, 1).astype(np.uint64))
+        old = np.asarray(batch.column(0)).view(np.uint64)
+        keys = signed(mix(keys.view(np.uint64) + mix(old)[:, None]))
+        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(np.asarray(batch.column(1)), keys.shape[1]))], names=["bucket", "doc"])
+
+
 def _confirm(batches):
     for part in slices(slices(batches, "text_a"), "text_b"):
         a, b = (shingle_sets(*buffer_of(part.column(c))) for c in ("text_a", "text_b"))
@@ -106,28 +182,36 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     whose least doc_id stands for it in the candidate search; links are confirmed on full sets.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketch = materialize(docs.mapInArrow(_sketch, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"), "sketch")
+    sketch = materialize(docs.mapInArrow(_sketch, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, sketch binary"), "sketch")
     key = ["n_shingles", "k1", "k2"]
-    # any bands of a class will do: equal sets have equal bands
     classes = sketch.where("n_shingles > 0").groupBy(key).agg(F.min("doc_id").alias("rep"), F.count("*").alias("size"))
     first = sketch.where("n_shingles > 0").join(classes, (sketch.doc_id == classes.rep) & (sketch.k1 == classes.k1), "left_semi").dropDuplicates(["doc_id"])
+    sketches = first.select(F.col("doc_id").alias("doc"), "sketch")
     member = first.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("bucket"))
-    links = known = None
-    while True:
-        centre = member.groupBy("bucket").agg(F.min("doc").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-        member = materialize(member.join(centre, "bucket").where("doc > a").select("bucket", "a", F.col("doc").alias("b")), "buckets")
-        pairs = member.select("a", "b").distinct()
+    known = None
+
+    def check(pairs: DataFrame) -> None:
+        nonlocal known
         fresh = pairs if known is None else pairs.join(known, ["a", "b"], "left_anti")
         checked = materialize(_confirmed(fresh, docs).distinct(), "checked")
         known = checked if known is None else known.unionByName(checked)
-        links = known.where("ok").select("a", "b")
-        failed = member.join(known.where("not ok"), ["a", "b"]).select("bucket", F.col("b").alias("doc"))
-        alone = failed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-        member = materialize(failed.join(alone, "bucket", "left_semi"), "failed")
-        if member.isEmpty():
+
+    while True:
+        centre = member.groupBy("bucket").agg(F.min("doc").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+        member = materialize(member.join(centre, "bucket").where("doc > a").select("bucket", "a", F.col("doc").alias("b")), "buckets")
+        check(member.select("a", "b").distinct())
+        failed = materialize(member.join(known.where("not ok"), ["a", "b"]).select("bucket", F.col("b").alias("doc")), "failed")
+        sizes = failed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+        some = failed.join(sizes.where(F.col("n") <= GROUP), "bucket").select("doc", "bucket").join(sketches, "doc").select("bucket", "doc", "sketch")
+        check(some.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_grouped, "a long, b long").distinct())
+        large = failed.join(sizes.where(F.col("n") > GROUP), "bucket").select("doc", "bucket")
+        if large.isEmpty():
             break
+        large = large.join(sketches, "doc").select("bucket", "doc", "sketch")
+        member = materialize(large.mapInArrow(_second_bands, "bucket long, doc long"), "second")
+    links = known.where("ok").select("a", "b")
     roots = components(links)
     classes = classes.join(roots, classes.rep == roots.node, "left").select(*key, F.coalesce("root", "rep").alias("class_root"))
-    out = sketch.drop("bands").join(classes, key, "left")
+    out = sketch.drop("bands", "sketch").join(classes, key, "left")
     root = F.coalesce("class_root", "doc_id")
     return out.select("doc_id", "n_shingles", root.alias("component_id"), F.coalesce(F.col("doc_id") == root, F.lit(True)).alias("kept"))
