@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, minhash, packing, secrets
+from . import decontam, langid, linecrf, minhash, packing, rules, secrets, suffixes, wrapper
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,12 +23,30 @@ def op2_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op3_suffix_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_documents(spark, sf_dir))
+
+
+def op4_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(_documents(spark, sf_dir)).drop("class_distance", "common_distance")
+
+
 def op5_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     rows = langid.identify(docs, langid.train(docs))
     return rows.select("doc_id", langid.is_held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op6_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    rows = linecrf.score(docs, linecrf.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return rows.select("doc_id", langid.is_held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op8_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op9_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_documents(spark, sf_dir))
 
@@ -48,7 +66,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_pack_sequences,
         op2_latent_decontamination,
+        op3_suffix_merge_dedup,
+        op4_divergence_rules,
         op5_byte_cnn_language,
+        op6_line_crf_quality,
+        op8_wrapper_extraction,
         op9_guess_cost_secrets,
         op10_minhash_near_dup,
         pipeline,
