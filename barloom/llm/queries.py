@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, linecrf, minhash, packing, rules, secrets, suffixes, wrapper
+from . import debruijn, decontam, langid, linecrf, minhash, packing, rules, secrets, suffixes, wrapper
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op6_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", langid.is_held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.remove_repeats(_documents(spark, sf_dir))
+
+
 def op8_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrapper.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_divergence_rules,
         op5_byte_cnn_language,
         op6_line_crf_quality,
+        op7_debruijn_dedup,
         op8_wrapper_extraction,
         op9_guess_cost_secrets,
         op10_minhash_near_dup,

@@ -85,6 +85,32 @@ def with_answers(runs: DataFrame, answers: DataFrame) -> DataFrame:
     return runs.join(by_run, "run_id", "left")
 
 
+_PLACE = np.uint64((1 << 24) - 1)
+
+
+def least_grams(h: np.ndarray, at: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """All windows of width symbols inside a text, by their starts, and the place of each window's least gram hash.
+
+    h are the hashes of all grams of gram symbols, at the texts' borders in symbols. Equal windows have their least
+    gram at the same offset; of equal hashes the leftmost counts.
+    """
+    count = width - gram + 1
+    key = (h & ~_PLACE) | (np.arange(len(h), dtype=np.uint64) & _PLACE)
+    size = 1
+    while 2 * size <= count:
+        key = np.minimum(key[:-size], key[size:])
+        size *= 2
+    if size < count:
+        key = np.minimum(key[: len(key) - (count - size)], key[count - size :])
+    inside = np.zeros(at[-1] + 1, np.int32)
+    own = np.diff(at) >= width
+    np.add.at(inside, at[:-1][own], 1)
+    np.add.at(inside, at[1:][own] - width + 1, -1)
+    start = np.flatnonzero(np.cumsum(inside)[: len(key)] > 0)
+    low = (key[start] & _PLACE).astype(np.int64)
+    return start, start + ((low - start) & int(_PLACE))
+
+
 def by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Order that sorts 40-bit keys by bucket, then key, and the buckets' borders in it. Buckets are ranges of keys."""
     order = np.argsort(keys, kind="stable")
@@ -93,7 +119,10 @@ def by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def ask_repeated(keys: np.ndarray, docs: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
-    """Question whether a key (40 bits) is in several documents: each distinct key once, five bytes, and whether this run knows."""
+    """Question whether a key (40 bits) is in several documents: each distinct key once, five bytes, and whether this run knows.
+
+    docs may number anything that counts as apart, such as the keys' places.
+    """
     order = np.lexsort((docs, keys))
     k, d = keys[order], docs[order]
     if not len(k):

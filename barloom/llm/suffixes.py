@@ -17,49 +17,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import _TABLE, mix
-from .runs import NO_ID, Run, answer_repeated, ask, ask_repeated, bucket_count, by_bucket, make_runs, read_runs, repeated, with_answers
+from .runs import NO_ID, Run, answer_repeated, ask, ask_repeated, bucket_count, least_grams, make_runs, read_runs, repeated, with_answers
 
 WIDTH, K = 50, 16
 REACH = WIDTH - K  # bytes left of an anchor that a window can have
 ROW = WIDTH + REACH
-_PLACE = np.uint64((1 << 24) - 1)
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
 def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Byte places of all anchors, ascending, and the 40-bit hashes of their grams."""
     n = len(data)
-    none = np.zeros(0, np.int64), np.zeros(0, np.uint64)
     if n < WIDTH:
-        return none
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     h, power, width = _TABLE[data], _MULT, 1
     while width < K:
         h = h[:-width] * power + h[width:]
         with np.errstate(over="ignore"):
             power = power * power
         width *= 2
-    key = (mix(h) & ~_PLACE) | (np.arange(len(h), dtype=np.uint64) & _PLACE)
-    least, width, count = key, 1, REACH + 1
-    while 2 * width <= count:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    if width < count:
-        least = np.minimum(least[: len(least) - (count - width)], least[count - width :])
-    # windows that start so near a document's end that they cross it don't count
-    inside = np.zeros(n + 1, np.int32)
-    size = np.diff(at)
-    own = size >= WIDTH
-    np.add.at(inside, at[:-1][own], 1)
-    np.add.at(inside, at[1:][own] - WIDTH + 1, -1)
-    start = np.flatnonzero(np.cumsum(inside)[: len(least)] > 0)
-    if not len(start):
-        return none
-    low = (least[start] & _PLACE).astype(np.int64)
-    place = start + ((low - start) & int(_PLACE))
+    h = mix(h)
+    _, place = least_grams(h, at, WIDTH, K)
     chosen = np.zeros(n, bool)
     chosen[place] = True
     place = np.flatnonzero(chosen)
-    return place, key[place] >> np.uint64(24)
+    return place, h[place] >> np.uint64(24)
 
 
 class Contexts:
