@@ -153,7 +153,7 @@ def catalog(p: QuoteParams = QuoteParams()) -> dict[str, Feature]:
 
     # stretches in which the newest quote is older than the gap
     gap = int(p.stale_gap_ms * 1_000_000)
-    sips = held("sip IS NOT NULL", "1.0", "sip")
+    sips = held("sip IS NOT NULL", "1e0", "sip")
     stale = f"greatest(0, least(coalesce(nt, close_ns), close_ns) - greatest(sip + {gap}, open_ns))"
     ahead = f"CASE WHEN pt IS NULL AND sip > open_ns THEN greatest(0, least(sip, close_ns) - (open_ns + {gap})) ELSE 0 END"
     feat("stale_quote_share", (*sips, add(st=f"{stale} + {ahead}")), clip("sum(st) / CAST(max(close_ns) - max(open_ns) AS DOUBLE)"))
