@@ -1,7 +1,8 @@
-"""All features in one plan: ticks are dealt out by day and symbol once, and features with a frame in common share it."""
+"""Many features in one plan: ticks are dealt out by day and symbol once, and features with a frame in common share it."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 from .feature import Feature, by_frame, values
 from .frame import KEYS
 
-#: Aggregates of one plan node; more make methods that the JVM doesn't compile.
-BATCH = 40
+#: Aggregates of one plan node (more make methods that the JVM doesn't compile), and frames of one job.
+BATCH, FRAMES = 40, 20
 
 
 def grid(sample: DataFrame, names: list[str]) -> DataFrame:
@@ -24,24 +25,34 @@ def _long(wide: DataFrame, names: list[str]) -> DataFrame:
     return wide.select(*KEYS, F.inline(pairs))
 
 
-def feature_table(features: list[Feature], ticks: dict[str, DataFrame], sample: DataFrame) -> DataFrame:
-    """Rows (date, symbol, feature, value) for each day and symbol of the sample and each feature.
+def deal(ticks: dict[str, DataFrame], sample: DataFrame) -> dict[str, DataFrame]:
+    """Ticks of the sample's days and symbols, dealt out by them.
 
-    Ticks of symbols outside the day's sample are dropped first. Each source is dealt out by (date, symbol) once;
-    every window, grouping and self-join of the features is by these keys and needs no other exchange.
+    Every window, grouping and self-join of the features is by these keys and needs no other exchange.
     """
     days = sample.select(*KEYS).distinct()
-    dealt = {name: df.join(days, list(KEYS), "left_semi").repartition(*KEYS) for name, df in ticks.items()}
+    return {name: df.join(days, list(KEYS), "left_semi").repartition(*KEYS) for name, df in ticks.items()}
+
+
+def feature_table(features: list[Feature], dealt: dict[str, DataFrame], sample: DataFrame) -> DataFrame:
+    """Rows (date, symbol, feature, value) for each day and symbol of the sample and each feature."""
     parts = []
     for (source, _), group in by_frame(features).items():
         for lo in range(0, len(group), BATCH):
             own = group[lo : lo + BATCH]
             parts.append(_long(values(own, dealt[source]), [f.name for f in own]))
     found = reduce(DataFrame.unionByName, parts)
-    return grid(days, [f.name for f in features]).join(found, [*KEYS, "feature"], "left")
+    return grid(sample.select(*KEYS).distinct(), [f.name for f in features]).join(found, [*KEYS, "feature"], "left")
+
+
+def jobs(features: list[Feature], dealt: dict[str, DataFrame], sample: DataFrame, frames: int = FRAMES) -> Iterator[DataFrame]:
+    """Feature tables of at most so many frames each; persist what deal() gave where several follow."""
+    groups = list(by_frame(features).values())
+    for lo in range(0, len(groups), frames):
+        yield feature_table([f for g in groups[lo : lo + frames] for f in g], dealt, sample)
 
 
 def status(table: DataFrame) -> DataFrame:
-    """Per feature and day: rows, values, and `ok`, `empty` (no value at all) or `missing` (no row)."""
+    """Per feature and day: rows, values, and `ok`, or `empty` where no symbol has a value."""
     per = table.groupBy("feature", "date").agg(F.count("symbol").alias("rows"), F.count("value").alias("found"))
-    return per.withColumn("status", F.when(F.col("rows") == 0, "missing").when(F.col("found") == 0, "empty").otherwise("ok"))
+    return per.withColumn("status", F.when(F.col("found") == 0, "empty").otherwise("ok"))

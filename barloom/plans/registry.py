@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.catalog import features
 from ..sources.ticks import derive, statements
-from .engine import feature_table, grid
 from .feature import Feature, one, rounded, twin_sql
 
 
@@ -20,22 +19,10 @@ def _query(feature: Feature) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and values of every feature, all computed in one pass over each source: (feature, n_rows, n_values)."""
-    ticks = {s: derive(spark, sf_dir, s) for s in ("bars", "quotes", "trades")}
-    table = feature_table(list(features().values()), ticks, derive(spark, sf_dir, "sample"))
-    return table.groupBy("feature").agg({"*": "count", "value": "count"}).toDF("feature", "n_rows", "n_values")
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _query(f) for name, f in features().items()}
-    found["feature_coverage"] = coverage
-    return found
+    return {name: _query(f) for name, f in features().items()}
 
 
 def oracles() -> dict[str, str]:
     sources = statements("duckdb")
     return {name: twin_sql(f, sources) for name, f in features().items() if f.twin}
-
-
-__all__ = ["grid", "oracles", "queries"]
