@@ -15,14 +15,17 @@ from pyspark.sql import functions as F
 
 from .common import APART, buffer_of, slices, word_hashes
 
-FEATURES, RANK, BLOCKS = 1 << 14, 48, 16
+FEATURES, RANK, BLOCKS = 1 << 14, 64, 16
 #: Words of a half passage; a passage is two neighbouring halves.
 HALF = 16
-COSINE = 0.5
+COSINE = 0.45
+#: A word is common if its feature is in more than this share of passages; of an item passage's other words a
+#: candidate must hold this share before the words are aligned.
+COMMON, HELD = 0.2, 0.35
 #: Share of an item's words in common order that proves a leak alone, and with RARE of its rarest words.
 CERTAIN, LIKELY, RARE_WORDS, RARE = 0.7, 0.5, 6, 0.6
 #: Items that one pass over the documents is held against.
-ITEMS = 4096
+ITEMS = 512
 
 
 def _words(column) -> tuple[np.ndarray, np.ndarray]:
@@ -41,7 +44,29 @@ def _starts(first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _random() -> np.ndarray:
-    return np.random.default_rng(11).normal(size=(FEATURES, RANK)).astype(np.float32)
+    """The random matrix, with a row of zeros behind."""
+    g = np.random.default_rng(11).normal(size=(FEATURES + 1, RANK)).astype(np.float32)
+    g[-1] = 0
+    return g
+
+
+def sum_rows(table: np.ndarray, index: np.ndarray, starts: np.ndarray, lanes: int) -> np.ndarray:
+    """Sums of table[index] over the stretches that begin at starts; the table's last row must be zeros.
+
+    Stretches are cut into pieces of lanes rows, and a lane of all pieces is added at a time.
+    """
+    if not len(starts):
+        return np.zeros((0, table.shape[1]), table.dtype)
+    size = np.diff(np.append(starts, len(index)))
+    count = -(-size // lanes)
+    first = np.cumsum(count) - count
+    begin = np.repeat(starts, count) + (np.arange(int(count.sum())) - np.repeat(first, count)) * lanes
+    end = np.repeat(starts + size, count)
+    out = np.zeros((len(begin), table.shape[1]), table.dtype)
+    for j in range(lanes):
+        at = begin + j
+        out += table.take(np.where(at < end, index[np.minimum(at, len(index) - 1)], len(table) - 1), 0)
+    return out if len(out) == len(starts) else np.add.reduceat(out, first, axis=0)
 
 
 def _products(batches):
@@ -53,12 +78,12 @@ def _products(batches):
             continue
         feature = _feature(words)
         starts, _ = _starts(first, 2 * HALF)
-        y = np.add.reduceat(g[feature], starts, axis=0)
+        y = np.vstack([sum_rows(g, feature, starts, 2 * HALF), np.zeros((1, RANK), np.float32)])
         passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words))))
         key = np.sort(feature * len(starts) + passage)
         feature, passage = np.divmod(key, len(starts))
         edge = np.flatnonzero(np.diff(feature, prepend=-1))
-        total[feature[edge]] += np.add.reduceat(y[passage], edge, axis=0)
+        total[feature[edge]] += sum_rows(y, passage, edge, HALF)
         df += np.bincount(feature[np.flatnonzero(np.diff(key, prepend=-1))], minlength=FEATURES)
         n += len(starts)
     if n:
@@ -82,7 +107,7 @@ def _sums(batches):
 
 
 def latent_space(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Weights (FEATURES, RANK) that take counts of features to the latent space, and each feature's idf.
+    """Weights (FEATURES + 1, RANK) that take counts of features to the latent space, zeros behind, and each feature's idf.
 
     The driver gets one sum of fixed size, whatever the documents: FEATURES x RANK numbers.
     """
@@ -94,14 +119,16 @@ def latent_space(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         at = slice(r.block * size, (r.block + 1) * size)
         total[at], df[at], n = np.frombuffer(r.total, np.float64).reshape(size, RANK), np.frombuffer(r.df, np.int64), r.n
     idf = np.log((1 + n) / (1 + df)) + 0.1
-    basis, _, _ = np.linalg.svd(total * idf[:, None], full_matrices=False)
-    return (basis * idf[:, None]).astype(np.float32), idf
+    basis, size, _ = np.linalg.svd(total * idf[:, None], full_matrices=False)
+    # the product has squared singular values: their roots even out the directions, or a language's would rule them
+    basis /= np.sqrt(np.maximum(size, max(1e-6 * size[0], 1e-12)))
+    return np.vstack([basis * idf[:, None], np.zeros((1, RANK))]).astype(np.float32), idf
 
 
 def _passages(words: np.ndarray, first: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Unit vectors of all passages, their first words and texts. A text of one half is one passage."""
     starts, doc = _starts(first, HALF)
-    half = np.add.reduceat(weights[_feature(words)], starts, axis=0)
+    half = sum_rows(weights, _feature(words), starts, HALF)
     pair = np.flatnonzero(doc[:-1] == doc[1:])
     single = np.flatnonzero(np.bincount(doc, minlength=len(first) - 1)[doc] == 1)
     x = np.concatenate([half[pair] + half[pair + 1], half[single]])
@@ -128,18 +155,39 @@ class _Items:
     def __init__(self, ids: list, words: np.ndarray, first: np.ndarray, weights: np.ndarray, idf: np.ndarray):
         self.ids = ids
         self.words = [words[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
-        self.x, _, self.item = _passages(words, first, weights)
+        self.lists = [w.tolist() for w in self.words]
+        self.x, start, self.item = _passages(words, first, weights)
+        common = idf < np.log(1 / COMMON) + 0.1
+        self.vocabulary = np.unique(words[~common[_feature(words)]])
+        self.member = np.zeros((len(self.vocabulary) + 1, len(ids)), bool)
+        number = self.numbers(words)
+        self.member[number, np.repeat(np.arange(len(ids)), np.diff(first))] = True
+        self.member[-1] = False
+        inside = start[:, None] + np.arange(2 * HALF)
+        known = (inside < first[self.item + 1][:, None]) & (number[np.minimum(inside, len(words) - 1)] < len(self.vocabulary))
+        rare = known.sum(1)
+        self.need = np.minimum(np.maximum(2, np.ceil(HELD * rare)), rare)
         self.rare = [set(sorted(set(w.tolist()), key=lambda h: (-idf[_feature(np.array([h], np.uint64))[0]], h))[:RARE_WORDS]) for w in self.words]
 
+    def numbers(self, words: np.ndarray) -> np.ndarray:
+        """Place of each word in the vocabulary; its size for other words."""
+        if not len(self.vocabulary):
+            return np.zeros(len(words), np.int64)
+        at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
+        return np.where(self.vocabulary[at] == words, at, len(self.vocabulary))
+
     def confirm(self, item: int, region: np.ndarray) -> tuple[int, float] | None:
-        own = self.words[item].tolist()
-        shared = lcs(own, region.tolist()) if np.isin(self.words[item], region).mean() >= LIKELY else 0
+        own, there = self.lists[item], region.tolist()
+        around = set(there)
+        if sum(w in around for w in own) < LIKELY * len(own):
+            return None
+        shared = lcs(own, there)
         share = shared / len(own)
         if share >= CERTAIN:
             return shared, share
         if share >= LIKELY:
             rare = self.rare[item]
-            if len(rare & set(region.tolist())) >= RARE * len(rare):
+            if len(rare & around) >= RARE * len(rare):
                 return shared, share
         return None
 
@@ -186,9 +234,18 @@ def _search(held, shared):
             x, at, doc = _passages(words, first, weights)
             ids, rows = part.column("doc_id").to_pylist(), []
             spans: dict[tuple[int, int], list] = {}
-            for lo in range(0, len(x), 8192):
-                near = x[lo : lo + 8192] @ items.x.T
-                for p, q in zip(*np.nonzero(near >= COSINE), strict=True):
+            number = np.append(items.numbers(words), len(items.vocabulary))
+            for lo in range(0, len(x), 4096):
+                near = x[lo : lo + 4096] @ items.x.T
+                p, q = np.nonzero(near >= COSINE)
+                inside = at[lo : lo + 4096, None] + np.arange(2 * HALF)
+                seen = number[np.where(inside < first[doc[lo : lo + 4096] + 1][:, None], inside, len(words))]
+                count = np.zeros(len(p), np.int64)
+                for a in range(0, len(p), 1 << 16):
+                    own = slice(a, a + (1 << 16))
+                    count[own] = items.member[seen[p[own]], items.item[q[own]][:, None]].sum(1)
+                fits = count >= items.need[q]
+                for p, q in zip(p[fits].tolist(), q[fits].tolist(), strict=True):
                     spans.setdefault((int(doc[lo + p]), int(items.item[q])), []).append((int(at[lo + p]), float(near[p, q])))
             for (d, item), hits in spans.items():
                 room = len(items.words[item])
