@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import debruijn, decontam, langid, linecrf, minhash, packing, rules, secrets, suffixes, wrapper
+from . import debruijn, decontam, langid, linecrf, minhash, oracles, packing, rules, secrets, suffixes, wrapper
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,4 +82,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_divergence_rules": oracles.RULES,
+    "op7_debruijn_dedup": oracles.DEBRUIJN,
+    "op10_minhash_near_dup": oracles.NEAR,
+}
