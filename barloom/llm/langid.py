@@ -149,7 +149,14 @@ def train(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG) -> Net | None:
     rows = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share[F.col("lang")]).select("doc_id", "lang", "text").toArrow()
     rows = rows.sort_by([("doc_id", "ascending")])
     langs = sorted(counts)
-    x, doc, held = windows_of(*buffer_of(rows.column("text")))
+    made, count = [], 0
+    for part in slices(rows.combine_chunks().to_batches()):
+        x, doc, held = windows_of(*buffer_of(part.column("text")))
+        made.append((x, doc + count, held))
+        count += part.num_rows
+    if not made:
+        return None
+    x, doc, held = (np.concatenate(m) for m in zip(*made, strict=True))
     rng = np.random.default_rng(3)
     order = rng.permutation(len(doc))
     order = order[held[order] >= 12]

@@ -87,7 +87,7 @@ class Field:
         self.bias, self.stay = 0.0, 0.0
 
     def bins(self, x: np.ndarray) -> np.ndarray:
-        return np.stack([np.searchsorted(e, x[:, k], "right") for k, e in enumerate(self.edges)], 1)
+        return np.stack([np.searchsorted(e, x[:, k], "right").astype(np.int8) for k, e in enumerate(self.edges)], 1)
 
     def around(self, bins: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Bins (3, lines, k) of the line before, the line and the line after; BINS where there is none."""
@@ -133,7 +133,7 @@ class Field:
         near = self.around(self.bins(x), first)
         y = np.repeat(label, np.diff(first)).astype(float)
         k = near.shape[2]
-        flat = (np.arange(3)[:, None, None] * k + np.arange(k)) * (BINS + 1) + near
+        flat = ((np.arange(3)[:, None, None] * k + np.arange(k)) * (BINS + 1) + near).astype(np.int32)
         n = len(y)
         linked = np.ones(n, bool)
         linked[first[1:] - 1] = False
@@ -175,11 +175,18 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Field | None:
     found = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").toArrow().sort_by([("doc_id", "ascending")])
     if not found.num_rows:
         return None
-    data, at = buffer_of(found.column("text"))
-    ws, we, _ = word_spans(data, at)
-    value, times = np.unique(span_hashes(data, ws, we), return_counts=True)
+    parts = list(slices(found.combine_chunks().to_batches()))
+    seen: list[np.ndarray] = []
+    for part in parts:
+        data, at = buffer_of(part.column("text"))
+        ws, we, _ = word_spans(data, at)
+        seen.append(span_hashes(data, ws, we))
+    value, times = np.unique(np.concatenate(seen), return_counts=True)
     common = np.sort(value[np.lexsort((value, -times))[:COMMON]])
-    x, first, _ = features(data, at, common)
+    del seen, value, times
+    made = [features(*buffer_of(part.column("text")), common) for part in parts]
+    x = np.concatenate([m[0] for m in made])
+    first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(m[1]) for m in made]))])
     edges = np.quantile(x, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
     return Field(edges, common).fit(x, first, np.array(found.column("quality").to_pylist()) == 1)
 
