@@ -73,3 +73,14 @@ links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
 reach AS (SELECT doc_id, doc_id AS r FROM d UNION SELECT links.b, reach.r FROM reach JOIN links ON links.a = reach.doc_id),
 roots AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM d JOIN roots USING (doc_id) LEFT JOIN sizes s USING (doc_id)"""
+
+SUFFIX = """WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d WHERE length(h) >= 100)),
+hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS least FROM windows) WHERE least < doc_id),
+marked AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS opens FROM hit),
+numbered AS (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM marked),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY doc_id, g),
+ends AS (SELECT doc_id, a, b FROM spans UNION ALL SELECT doc_id, length(h) // 2 AS a, length(h) // 2 AS b FROM d),
+pieces AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a, b), 0) AS start FROM ends),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * start + 1, 2 * (a - start)), '' ORDER BY a, b) AS k, sum(b - a) AS n_removed, count(*) - 1 AS n_spans FROM pieces JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, n_spans, sha256(unhex(k)) AS kept_sha256 FROM d JOIN kept USING (doc_id)"""

@@ -83,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_suffix_merge_dedup": oracles.SUFFIX,
     "op4_divergence_rules": oracles.RULES,
     "op7_debruijn_dedup": oracles.DEBRUIJN,
     "op10_minhash_near_dup": oracles.NEAR,
