@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, signed, span_hashes, window_hashes, word_spans
+from .common import materialize, mix, signed, span_hashes, window_hashes, word_spans
 from .runs import NO_ID, Run, answer_repeated, ask, ask_repeated, bucket_count, by_bucket, least_grams, make_runs, read_runs, repeated, with_answers
 
 WIDTH, GRAM = 20, 4
@@ -31,7 +31,7 @@ class Words:
         if len(self.hashes) >= WIDTH:
             grams = window_hashes(self.hashes, GRAM)
             self.window, self.place = least_grams(grams, self.first, WIDTH, GRAM)
-            self.key = grams[self.place] >> np.uint64(24)
+            self.key = mix(grams[self.place]) >> np.uint64(24)  # least hashes are small; mixed again, they spread over the buckets
         else:
             self.window = self.place = np.zeros(0, np.int64)
             self.key = np.zeros(0, np.uint64)

@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 from .common import buffer_of, materialize, slices
 
-RUN_BYTES = 4 << 20
+RUN_BYTES = 2 << 20
+#: Runs are stored and joined compressed.
+LEVEL = 6
 #: Text bytes that one bucket stands for; what reaches a bucket is a part of that.
-BUCKET_BYTES, LEAST_BUCKETS = 32 << 20, 24
+BUCKET_BYTES, LEAST_BUCKETS = 8 << 20, 24
 #: Stands for a doc_id that is null: above all others.
 NO_ID = (1 << 63) - 1
 SCHEMA = "run_id long, ids binary, at binary, data binary, size long"
@@ -41,7 +43,7 @@ def make_runs(docs: DataFrame) -> DataFrame:
         for k, part in enumerate(slices(batches, limit=RUN_BYTES)):
             data, at = buffer_of(part.column("text"))
             ids = np.asarray(part.column("doc_id").fill_null(NO_ID))
-            packed = pa.compress(np.ascontiguousarray(data), "zstd", asbytes=True) if len(data) else b""
+            packed = pa.Codec("zstd", compression_level=LEVEL).compress(np.ascontiguousarray(data), asbytes=True) if len(data) else b""
             yield pa.RecordBatch.from_arrays([pa.array([part_id << 32 | k]), *(pa.array([x], pa.binary()) for x in (ids.tobytes(), at.astype(np.int64).tobytes(), packed)), pa.array([len(data)])], names=["run_id", "ids", "at", "data", "size"])
 
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")

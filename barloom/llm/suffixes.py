@@ -41,7 +41,8 @@ def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     chosen = np.zeros(n, bool)
     chosen[place] = True
     place = np.flatnonzero(chosen)
-    return place, h[place] >> np.uint64(24)
+    # least hashes are small; mixed again, they spread over the buckets
+    return place, mix(h[place]) >> np.uint64(24)
 
 
 class Contexts:
@@ -177,7 +178,8 @@ def answer_masks(blobs: list[bytes]) -> list[bytes]:
     for r, shared, *_ in parts:
         raw = r.tobytes()
         runs.append(([int.from_bytes(raw[i : i + ROW], "big") for i in range(0, len(raw), ROW)], shared.tolist()))
-    order, shared = (np.array(x, np.int64) for x in merge(runs))
+    order, shared = (np.array(x, np.int32) for x in merge(runs))
+    del runs
     rows, right, left, ids = rows[order], right[order].astype(np.int64), left[order].astype(np.int64), ids[order]
     # rows that share less than a gram with both neighbours are alone
     masks = np.zeros(len(rows), np.uint64)
