@@ -28,8 +28,8 @@ SENTENCE_CUT, WORD_CUT = 2, 6
 STRIDE = 32
 #: Tokens that one run of the dynamic program covers.
 BLOCK = 128 * WINDOW
-#: Distinct pieces that a worker remembers before it starts over; of their parts it keeps twice as many.
-REMEMBERED = 400_000
+#: Distinct pieces that a worker remembers before it starts over; and of their parts; that is some 400 MB.
+REMEMBERED = 1_000_000
 
 _PLAIN = re.compile(r"[!-;=-~À-ÖØ-öø-ÿ]+")
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+|\n")
@@ -104,7 +104,7 @@ class Words:
         self.reset()
 
     def reset(self) -> None:
-        if self.parts is None or len(self.parts) > 2 * REMEMBERED:
+        if self.parts is None or len(self.parts) > REMEMBERED:
             self.parts, self.part_ids = _Numbering(), _Ids()
             self.parts.numbers(["\n"])
             self.parts.take()
