@@ -3,9 +3,10 @@
 One hash of each word shingle falls into one of BINS bins; a bin keeps its least value. Empty bins take the
 value of a donor bin drawn for each bin alone (optimal densification), so that bins agree with the probability
 of the sets' similarity. Bands of ROWS bins are buckets. A bucket gives star-shaped candidates: its least
-document against each other member. Members that the full sets do not link to the centre are compared among
-themselves by sketches of all bins, in groups of at most GROUP; larger groups are first split by a second banding
-of the same bins. So the pairs stay bounded and no bucket is capped.
+document against each other member. Where these links leave a bucket's members in several components, all members
+of different components are compared by sketches of all bins, also those that the centre links: in one group up to
+GROUP members, in tiles of blocks of half as many beyond, where the largest component is not compared with itself.
+So a task stays bounded, no bucket is capped, and only pairs that are connected already are left out.
 """
 
 from __future__ import annotations
@@ -91,14 +92,19 @@ def _sketch(batches):
         )
 
 
-def candidates(docs: np.ndarray, sketches: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of one group's documents that may be linked, few enough: clusters give stars, two clusters each document's best partner."""
+def candidates(docs: np.ndarray, sketches: np.ndarray, roots: np.ndarray, sides: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of one group's documents that may be linked, few enough: clusters give stars, two clusters each document's best partner.
+
+    Documents of one root are connected already and give no pair; in a tile of two sides only pairs across count.
+    """
     order = np.argsort(docs, kind="stable")
-    docs, sketches = docs[order], sketches[order]
+    docs, sketches, roots, sides = docs[order], sketches[order], roots[order], sides[order]
     n = len(docs)
+    tile = len(np.unique(sides)) > 1
     same = np.zeros((n, n), np.float32)
     for i in range(n - 1):
-        same[i, i + 1 :] = (sketches[i] == sketches[i + 1 :]).mean(1)
+        js = i + 1 + np.flatnonzero((roots[i + 1 :] != roots[i]) & ((sides[i + 1 :] != sides[i]) | (not tile)))
+        same[i, js] = np.count_nonzero(sketches[i] == sketches[js], axis=1) / BINS
     same = np.maximum(same, same.T)
     head, out = np.full(n, -1), set()
     for i in range(n):
@@ -117,14 +123,14 @@ def candidates(docs: np.ndarray, sketches: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _grouped(batches):
-    """Candidates of each bucket; a bucket's rows follow each other. Holds one batch and one group."""
-    kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    """Candidates of each group; a group's rows follow each other. Holds one batch and one group."""
+    kept: list[tuple[np.ndarray, ...]] = []
 
-    def pairs(key, doc, sketch):
+    def pairs(key, doc, root, side, sketch):
         edge = np.append(np.flatnonzero(np.diff(key)) + 1, len(key))
         lo, found = 0, []
         for hi in edge.tolist():
-            found += candidates(doc[lo:hi], sketch[lo:hi])
+            found += candidates(doc[lo:hi], sketch[lo:hi], root[lo:hi], side[lo:hi])
             lo = hi
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
@@ -132,26 +138,36 @@ def _grouped(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, doc = (np.asarray(batch.column(k)) for k in (0, 1))
-        sketch = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, BINS)
-        kept.append((key, doc, sketch))
-        key, doc, sketch = (np.concatenate(x) for x in zip(*kept, strict=True))
-        last = int(np.searchsorted(key, key[-1], "left"))
-        kept = [(key[last:], doc[last:], sketch[last:])]
+        sketch = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(-1, BINS)
+        kept.append((*(np.asarray(batch.column(k)) for k in range(4)), sketch))
+        whole = [np.concatenate(x) for x in zip(*kept, strict=True)]
+        last = int(np.searchsorted(whole[0], whole[0][-1], "left"))
+        kept = [tuple(x[last:] for x in whole)]
         if last:
-            yield from pairs(key[:last], doc[:last], sketch[:last])
+            yield from pairs(*(x[:last] for x in whole))
     if kept:
         yield from pairs(*(np.concatenate(x) for x in zip(*kept, strict=True)))
 
 
-def _second_bands(batches):
-    """(bucket, doc) of a second banding: bins far apart make a band, and the old bucket stays part of the key."""
-    for batch in batches:
-        sketch = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, ROWS, BINS // ROWS)
-        keys = _bands(sketch.transpose(0, 2, 1).astype(np.uint64))
-        old = np.asarray(batch.column(0)).view(np.uint64)
-        keys = signed(mix(keys.view(np.uint64) + mix(old)[:, None]))
-        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(np.asarray(batch.column(1)), keys.shape[1]))], names=["bucket", "doc"])
+def _tiles(label: DataFrame) -> DataFrame:
+    """(tile, doc, root, side) of label(bucket, doc, root): each two documents of a bucket and of different roots meet in a tile.
+
+    A bucket of at most GROUP members is one tile. In a larger one the members outside the bucket's largest root
+    make the first blocks, which meet all blocks; the blocks of the largest root do not meet each other.
+    """
+    roots = label.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    sizes = roots.groupBy("bucket").agg(F.sum("n").alias("n"), F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.count("*").alias("roots"))
+    rows = label.join(sizes.where("roots > 1"), "bucket")
+    small = rows.where(F.col("n") <= GROUP).select(F.col("bucket").alias("tile"), "doc", "root", F.lit(0).alias("side"))
+    half = max(1, GROUP // 2)
+    others, mains = F.ceil((F.col("n") - F.col("most")) / half), F.ceil(F.col("most") / half)
+    mixed, stray = F.xxhash64("doc"), F.col("root") != F.col("main")
+    own = F.when(stray, F.pmod(mixed, F.col("others"))).otherwise(F.col("others") + F.pmod(mixed, F.col("mains")))
+    large = rows.where(F.col("n") > GROUP).withColumns({"others": others, "mains": mains}).withColumn("own", own)
+    end = F.when(stray, F.col("others") + F.col("mains")).otherwise(F.col("others")) - 1
+    large = large.select("bucket", "doc", "root", "own", F.explode(F.sequence(F.lit(0).cast("long"), end)).alias("other"))
+    tile = F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))
+    return small.unionByName(large.select(tile.alias("tile"), "doc", "root", (F.col("own") > F.col("other")).cast("int").alias("side")))
 
 
 def _confirm(batches):
@@ -196,19 +212,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         checked = materialize(_confirmed(fresh, docs).distinct(), "checked")
         known = checked if known is None else known.unionByName(checked)
 
-    while True:
-        centre = member.groupBy("bucket").agg(F.min("doc").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-        member = materialize(member.join(centre, "bucket").where("doc > a").select("bucket", "a", F.col("doc").alias("b")), "buckets")
-        check(member.select("a", "b").distinct())
-        failed = materialize(member.join(known.where("not ok"), ["a", "b"]).select("bucket", F.col("b").alias("doc")), "failed")
-        sizes = failed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-        some = failed.join(sizes.where(F.col("n") <= GROUP), "bucket").select("doc", "bucket").join(sketches, "doc").select("bucket", "doc", "sketch")
-        check(some.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_grouped, "a long, b long").distinct())
-        large = failed.join(sizes.where(F.col("n") > GROUP), "bucket").select("doc", "bucket")
-        if large.isEmpty():
-            break
-        large = large.join(sketches, "doc").select("bucket", "doc", "sketch")
-        member = materialize(large.mapInArrow(_second_bands, "bucket long, doc long"), "second")
+    centre = member.groupBy("bucket").agg(F.min("doc").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    star = materialize(member.join(centre, "bucket").where("doc > a").select("bucket", "a", F.col("doc").alias("b")), "buckets")
+    check(star.select("a", "b").distinct())
+    roots = components(known.where("ok").select("a", "b"))
+    label = star.select("bucket", F.col("b").alias("doc")).join(roots, F.col("doc") == F.col("node"), "left")
+    label = materialize(label.select("bucket", "doc", F.coalesce("root", "doc").alias("root")), "labels")
+    tiles = _tiles(label).join(sketches, "doc").select("tile", "doc", "root", "side", "sketch")
+    check(tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_grouped, "a long, b long").distinct())
     links = known.where("ok").select("a", "b")
     roots = components(links)
     classes = classes.join(roots, classes.rep == roots.node, "left").select(*key, F.coalesce("root", "rep").alias("class_root"))

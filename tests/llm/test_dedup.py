@@ -1,5 +1,7 @@
 """Near-duplicate, suffix and de Bruijn operators against brute force."""
 
+import random
+
 import pytest
 
 from barloom.llm import components, debruijn, minhash, suffixes
@@ -111,3 +113,22 @@ def test_components(spark):
     got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7, 9: 7} | {k: 20 for k in range(20, 61)}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def edited(words: list[str], rng, n: int, tag: str) -> list[str]:
+    """The words with n of them, apart from each other, replaced."""
+    out = list(words)
+    for k in sorted(rng.sample(range(len(words) // 5), n)):
+        out[5 * k + 2] = f"{tag}{k}"
+    return out
+
+
+def test_near_duplicates_of_a_base_in_the_middle(spark):
+    """Each edit is near to the base and not to another edit; in most buckets the centre is an edit."""
+    rng = random.Random(4)
+    base = prose(11, 400, 100_000).split(" ")
+    rows = {k: " ".join(base if k == 150 else edited(base, rng, 9, f"e{k}x")) for k in range(300)}
+    want = classes(rows)
+    assert len({root for _, root in want.values()}) == 1
+    got = rows_of(minhash.near_duplicates(documents(spark, rows)))
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == want
