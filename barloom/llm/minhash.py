@@ -92,8 +92,9 @@ def _sketch(batches):
         )
 
 
-def candidates(docs: np.ndarray, sketches: np.ndarray, roots: np.ndarray, sides: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of one group's documents that may be linked, few enough: clusters give stars, two clusters each document's best partner.
+def candidates(docs: np.ndarray, sketches: np.ndarray, roots: np.ndarray, sides: np.ndarray) -> list[tuple[int, int, bool]]:
+    """All pairs of one group's documents that may be linked, with whether to try them first: in a cluster its star,
+    between two clusters each document's best partner.
 
     Documents of one root are connected already and give no pair; in a tile of two sides only pairs across count.
     """
@@ -106,20 +107,20 @@ def candidates(docs: np.ndarray, sketches: np.ndarray, roots: np.ndarray, sides:
         js = i + 1 + np.flatnonzero((roots[i + 1 :] != roots[i]) & ((sides[i + 1 :] != sides[i]) | (not tile)))
         same[i, js] = np.count_nonzero(sketches[i] == sketches[js], axis=1) / BINS
     same = np.maximum(same, same.T)
-    head, out = np.full(n, -1), set()
+    head, first = np.full(n, -1), np.zeros((n, n), bool)
     for i in range(n):
         if head[i] < 0:
             own = np.flatnonzero((head < 0) & (same[i] >= STRONG))
             head[own], head[i] = i, i
-            out.update((i, int(j)) for j in own if j != i)
+            first[i, own] = True
     near = same >= NEAR
-    near &= head[:, None] != head[None, :]
     for i in np.flatnonzero(near.any(1)).tolist():
-        js = np.flatnonzero(near[i])
+        js = np.flatnonzero(near[i] & (head != head[i]))
         js = js[np.lexsort((js, -same[i, js], head[js]))]
-        for j in js[np.flatnonzero(np.diff(head[js], prepend=-1))].tolist():
-            out.add((min(i, j), max(i, j)))
-    return [(int(docs[i]), int(docs[j])) for i, j in out if docs[i] != docs[j]]
+        first[i, js[np.flatnonzero(np.diff(head[js], prepend=-1))]] = True
+    first |= first.T
+    x, y = np.nonzero(np.triu(near, 1) & (docs[:, None] != docs[None, :]))
+    return list(zip(docs[x].tolist(), docs[y].tolist(), first[x, y].tolist(), strict=True))
 
 
 def _grouped(batches):
@@ -133,7 +134,8 @@ def _grouped(batches):
             found += candidates(doc[lo:hi], sketch[lo:hi], root[lo:hi], side[lo:hi])
             lo = hi
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+            a, b, first = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(first, pa.bool_())], names=["a", "b", "first"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -219,9 +221,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     label = star.select("bucket", F.col("b").alias("doc")).join(roots, F.col("doc") == F.col("node"), "left")
     label = materialize(label.select("bucket", "doc", F.coalesce("root", "doc").alias("root")), "labels")
     tiles = _tiles(label).join(sketches, "doc").select("tile", "doc", "root", "side", "sketch")
-    check(tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_grouped, "a long, b long").distinct())
-    links = known.where("ok").select("a", "b")
-    roots = components(links)
+    near = tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_grouped, "a long, b long, first boolean")
+    near = materialize(near.groupBy("a", "b").agg(F.max("first").alias("first")), "near")
+    check(near.where("first").select("a", "b"))
+    # pairs that these links do not connect are all tried
+    roots = components(known.where("ok").select("a", "b"))
+    ends = [roots.select(F.col("node").alias(k), F.col("root").alias(f"root_{k}")) for k in ("a", "b")]
+    rest = near.where("not first").join(ends[0], "a", "left").join(ends[1], "b", "left")
+    check(rest.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"))
+    roots = components(known.where("ok").select("a", "b"))
     classes = classes.join(roots, classes.rep == roots.node, "left").select(*key, F.coalesce("root", "rep").alias("class_root"))
     out = sketch.drop("bands", "sketch").join(classes, key, "left")
     root = F.coalesce("class_root", "doc_id")

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from barloom.llm import components, debruijn, minhash, suffixes
@@ -132,3 +133,42 @@ def test_near_duplicates_of_a_base_in_the_middle(spark):
     assert len({root for _, root in want.values()}) == 1
     got = rows_of(minhash.near_duplicates(documents(spark, rows)))
     assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == want
+
+
+def two_clusters(seed: int) -> dict[int, str]:
+    """Two tight clusters; of all pairs across only that of the last documents reaches the threshold, by a hair."""
+    rng = random.Random(seed)
+    base = [f"s{seed}n{k}" for k in range(1200)]
+    common, places = range(20), {0: range(40, 240, 2), 1: range(41, 240, 2)}
+    out = {}
+    for i in range(80):
+        words, mine = list(base), rng.sample(places[i % 2], 7 if i >= 78 else 8)
+        for k in mine + (list(common) if i % 2 else []):
+            words[5 * k + 2] = f"s{seed}c{k}" if k in common else f"s{seed}d{i}k{k}"
+        out[1000 * seed + i] = " ".join(words)
+    return out
+
+
+def test_near_duplicates_of_one_link_between_clusters(spark):
+    rows = {i: t for seed in range(1, 5) for i, t in two_clusters(seed).items()}
+    sets = {i: shingles(t) for i, t in rows.items()}
+    across = [(i, j) for i in rows for j in rows if i < j and i // 1000 == j // 1000 and (j - i) % 2 and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    assert across == [(1000 * seed + 78, 1000 * seed + 79) for seed in range(1, 5)]
+    got = rows_of(minhash.near_duplicates(documents(spark, rows)))
+    assert {i: r.component_id for i, r in got.items()} == {i: i // 1000 * 1000 for i in rows}
+
+
+def test_candidates_leave_out_no_near_pair():
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 256, minhash.BINS, dtype=np.uint8)
+    sketches = np.repeat(base[None], 60, 0)
+    for i in range(60):
+        if i % 2:
+            sketches[i, :90] += 1  # the second cluster
+        sketches[i, rng.choice(np.arange(90, minhash.BINS), 12, replace=False)] += 7
+    docs, none = np.arange(60) + 5, np.zeros(60, np.int64)
+    found = {(a, b) for a, b, *_ in minhash.candidates(docs, sketches, docs, none)}
+    for i in range(60):
+        for j in range(i + 1, 60):
+            if (i + j) % 2:
+                assert ((i + 5, j + 5) in found) == ((sketches[i] == sketches[j]).mean() >= minhash.NEAR)
