@@ -6,6 +6,7 @@ of the sets' similarity. Bands of ROWS bins are buckets. A bucket gives star-sha
 document against each other member. Where these links leave a bucket's members in several components, all members
 of different components are compared by sketches of all bins, also those that the centre links: in one group up to
 GROUP members, in tiles of blocks of half as many beyond, where the largest component is not compared with itself.
+Large buckets that share members are one where that is less work. There is one such round, whatever the texts.
 So a task stays bounded, no bucket is capped, and only pairs that are connected already are left out.
 """
 
@@ -133,9 +134,10 @@ def _grouped(batches):
         for hi in edge.tolist():
             found += candidates(doc[lo:hi], sketch[lo:hi], root[lo:hi], side[lo:hi])
             lo = hi
-        if found:
-            a, b, first = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(first, pa.bool_())], names=["a", "b", "first"])
+            if found and (len(found) > 1 << 16 or hi == len(key)):
+                a, b, first = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(first, pa.bool_())], names=["a", "b", "first"])
+                found = []
 
     for batch in batches:
         if not batch.num_rows:
@@ -151,15 +153,41 @@ def _grouped(batches):
         yield from pairs(*(np.concatenate(x) for x in zip(*kept, strict=True)))
 
 
+def _sizes(label: DataFrame) -> DataFrame:
+    """Each bucket of several roots: members n, its largest root main and that one's members most."""
+    roots = label.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    sizes = roots.groupBy("bucket").agg(F.sum("n").alias("n"), F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.count("*").alias("roots"))
+    return sizes.where("roots > 1").drop("roots")
+
+
+def _families(label: DataFrame) -> DataFrame:
+    """label(bucket, doc, root) with one bucket for large ones that share members, where that takes fewer comparisons.
+
+    Texts on one template meet in most of their buckets; so each pair of them is compared once.
+    """
+    large = materialize(_sizes(label).where(F.col("n") > GROUP).select("bucket", (F.col("n") * (F.col("n") - F.col("most"))).alias("cost")), "large")
+    if large.isEmpty():
+        return label
+    rows = label.join(large, "bucket")
+    least = materialize(rows.groupBy("bucket").agg(F.min("doc").alias("a"), F.first("cost").alias("cost")), "least")
+    family = components(rows.join(least.select("bucket", "a"), "bucket").select("a", F.col("doc").alias("b")))
+    family = least.join(family, F.col("a") == F.col("node")).select("bucket", "cost", F.xxhash64(F.lit("family"), "root").alias("family"))
+    whole = rows.select("bucket", "doc", "root").join(family, "bucket").select(F.col("family").alias("bucket"), "doc", "root").distinct()
+    whole = materialize(whole, "families")
+    costs = family.groupBy("family").agg(F.sum("cost").alias("cost"))
+    less = _sizes(whole).join(costs, F.col("bucket") == F.col("family")).where(F.col("n") * (F.col("n") - F.col("most")) < F.col("cost")).select("family")
+    less = materialize(less, "less")
+    gone = family.join(less, "family").select("bucket")
+    return label.join(gone, "bucket", "left_anti").unionByName(whole.join(less, whole.bucket == less.family, "left_semi"))
+
+
 def _tiles(label: DataFrame) -> DataFrame:
     """(tile, doc, root, side) of label(bucket, doc, root): each two documents of a bucket and of different roots meet in a tile.
 
     A bucket of at most GROUP members is one tile. In a larger one the members outside the bucket's largest root
     make the first blocks, which meet all blocks; the blocks of the largest root do not meet each other.
     """
-    roots = label.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    sizes = roots.groupBy("bucket").agg(F.sum("n").alias("n"), F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.count("*").alias("roots"))
-    rows = label.join(sizes.where("roots > 1"), "bucket")
+    rows = label.join(_sizes(label), "bucket")
     small = rows.where(F.col("n") <= GROUP).select(F.col("bucket").alias("tile"), "doc", "root", F.lit(0).alias("side"))
     half = max(1, GROUP // 2)
     others, mains = F.ceil((F.col("n") - F.col("most")) / half), F.ceil(F.col("most") / half)
@@ -220,7 +248,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     roots = components(known.where("ok").select("a", "b"))
     label = star.select("bucket", F.col("b").alias("doc")).join(roots, F.col("doc") == F.col("node"), "left")
     label = materialize(label.select("bucket", "doc", F.coalesce("root", "doc").alias("root")), "labels")
-    tiles = _tiles(label).join(sketches, "doc").select("tile", "doc", "root", "side", "sketch")
+    tiles = _tiles(_families(label)).join(sketches, "doc").select("tile", "doc", "root", "side", "sketch")
     near = tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_grouped, "a long, b long, first boolean")
     near = materialize(near.groupBy("a", "b").agg(F.max("first").alias("first")), "near")
     check(near.where("first").select("a", "b"))

@@ -172,3 +172,23 @@ def test_candidates_leave_out_no_near_pair():
         for j in range(i + 1, 60):
             if (i + j) % 2:
                 assert ((i + 5, j + 5) in found) == ((sketches[i] == sketches[j]).mean() >= minhash.NEAR)
+
+
+def test_near_duplicates_on_a_template_take_one_round(spark, monkeypatch):
+    """Texts on one template below the threshold meet in most buckets; only one pair is linked."""
+    made, rng = [], random.Random(8)
+
+    def counted(df, name, materialize=minhash.materialize):
+        made.append(name)
+        assert len(made) < 20
+        return materialize(df, name)
+
+    monkeypatch.setattr(minhash, "GROUP", 10)
+    monkeypatch.setattr(minhash, "materialize", counted)
+    base = prose(11, 400, 100_000).split(" ")
+    rows = {k: " ".join(base[:330] + prose(100 + k, 70, 100_000).split(" ")) for k in range(100)}
+    rows[100] = " ".join(edited(rows[50].split(" "), rng, 3, "last"))
+    want = classes(rows)
+    assert len({root for _, root in want.values()}) == 100
+    got = rows_of(minhash.near_duplicates(documents(spark, rows)))
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == want
