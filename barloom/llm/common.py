@@ -15,10 +15,11 @@ _M64 = (1 << 64) - 1
 _P = 0x9E3779B97F4A7C15 | 1
 _PINV = pow(_P, -1, 1 << 64)
 _TABLE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: ASCII white space.
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: White space and ASCII punctuation.
-APART = _SPACE.copy()
+APART = SPACE.copy()
 APART[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -73,10 +74,11 @@ def slices(batches, text: str = "text", limit: int = SLICE_BYTES):
 def mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit values; one to one."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +92,7 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[size]
 
 
-def word_spans(data: np.ndarray, at: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, at: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte start, byte end and text number of every word, which is a run without bytes of space (ASCII white space)."""
     n = len(data)
     if not n:
@@ -120,7 +122,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_hashes(data: np.ndarray, at: np.ndarray, lower: bool = False, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, at: np.ndarray, lower: bool = False, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word and the n+1 offsets of each text's words; lower folds A-Z first."""
     data = _LOWER[data] if lower else data
     starts, ends, doc = word_spans(data, at, space)

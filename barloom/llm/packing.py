@@ -10,15 +10,15 @@ from __future__ import annotations
 
 import os
 import re
-from collections import deque
 from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import slices
+from .common import SPACE, buffer_of, slices, word_spans
 
 WINDOW = 2048
 END_ID = 1
@@ -30,10 +30,14 @@ STRIDE = 32
 BLOCK = 128 * WINDOW
 #: Distinct pieces that a worker remembers before it starts over; and of their parts; that is some 400 MB.
 REMEMBERED = 1_000_000
+#: Bytes of text that are encoded at once, a longer text alone.
+SLICE = 8 << 20
+#: Parts that one call of the tokenizer encodes.
+JOINED = 4096
 
-_PLAIN = re.compile(r"[!-;=-~À-ÖØ-öø-ÿ]+")
+_PLAIN = "^[!-;=-~À-ÖØ-öø-ÿ]+$"
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+|\n")
-_SENTENCE_ENDS = tuple(a + b for a in ".!?…" for b in ("", '"', "'", ")", "”"))
+_SENTENCE_END = "[.!?…][\"')”]?$"
 
 
 def default_tokenizer() -> str:
@@ -91,8 +95,9 @@ class _Ids:
 class Words:
     """Ids of texts, by way of the blank-separated pieces seen before.
 
-    The tokenizer drops white space and never joins across it, so pieces can be encoded alone and remembered.
-    Pieces of plain Latin letters are split as the tokenizer splits them and their parts remembered too.
+    The tokenizer drops white space and never joins across it, so pieces can be encoded alone and remembered; Arrow
+    finds a slice's distinct pieces. Pieces of plain Latin letters are split as the tokenizer splits them and their
+    parts remembered too. New parts are encoded many at a time: the last id of a part, and no other, ends a word.
     """
 
     def __init__(self, path: str):
@@ -100,6 +105,9 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
         self.parts = None
         self.reset()
 
@@ -110,23 +118,31 @@ class Words:
             self.parts.take()
             self.part_ids.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
         self.pieces, self.ids = _Numbering(), _Ids()
-        self.pieces.numbers([None, "\n"])
+        self.pieces.numbers([None])
         self.pieces.take()
-        self.ids.add(np.array([END_ID], np.uint32), np.array([1, 0]))
-        self.stop = np.zeros(1 << 14, np.int8)
-        self.stop[:2] = 2, 1
+        self.ids.add(np.array([END_ID], np.uint32), np.array([1]))
+        self.stop = np.zeros(1 << 14, bool)
+        self.stop[0] = True
 
     def _encode(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         own = [e.ids for e in self.tokenizer.encode_batch_fast(keys, add_special_tokens=False)]
         size = np.fromiter(map(len, own), np.int64, len(own))
         return np.fromiter(chain.from_iterable(own), np.uint32, int(size.sum())), size
 
+    def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, _ = self._encode([" ".join(parts[k : k + JOINED]) for k in range(0, len(parts), JOINED)])
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(parts) or ends[-1] != len(ids):  # a vocabulary without word ends
+            return self._encode(parts)
+        return ids, np.diff(ends, prepend=0)
+
     def _learn(self, new: list[str]) -> None:
-        plain = np.fromiter((_PLAIN.fullmatch(p) is not None for p in new), bool, len(new))
+        column = pa.array(new, pa.string())
+        plain = np.asarray(pc.match_substring_regex(column, _PLAIN))
         size = np.zeros(len(new), np.int64)
         number = self.parts.numbers(_PARTS.findall("\n".join([*compress(new, plain), ""]).lower()))
         if fresh := self.parts.take():
-            self.part_ids.add(*self._encode(fresh))
+            self.part_ids.add(*self._encode_parts(fresh))
         ids, each = self.part_ids.get(number)
         ends = np.cumsum(each)[number == 0]
         size[plain] = np.diff(ends, prepend=0)
@@ -139,24 +155,32 @@ class Words:
             ids = both
         while self.ids.rows + len(new) > len(self.stop):
             self.stop = np.concatenate([self.stop, np.zeros_like(self.stop)])
-        self.stop[self.ids.rows : self.ids.rows + len(new)] = [p.endswith(_SENTENCE_ENDS) for p in new]
+        self.stop[self.ids.rows : self.ids.rows + len(new)] = np.asarray(pc.match_substring_regex(column, _SENTENCE_END))
         self.ids.add(ids, size)
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts with END_ID after each; the texts' ends; the places of sentence, line and text ends."""
         if len(self.pieces) > REMEMBERED:
             self.reset()
-        pieces: list = []
-        for text in texts:
-            if text:
-                pieces += text.replace("\n", " \n ").split(" ")
-            pieces.append(None)
-        number = self.pieces.numbers(pieces)
+        data, at = buffer_of(texts)
+        starts, ends, doc = word_spans(data, at)
+        border = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+        body = np.ascontiguousarray(data[~SPACE[data]])
+        seen = pa.StringArray.from_buffers(len(starts), pa.py_buffer(border), pa.py_buffer(body)).dictionary_encode()
+        known = self.pieces.numbers(seen.dictionary.to_numpy(zero_copy_only=False).tolist())
         if new := self.pieces.take():
             self._learn(new)
+        number = np.zeros(len(starts) + len(at) - 1, np.int64)  # 0 stands for END_ID behind each text
+        place = np.arange(len(starts)) + doc
+        number[place] = known[np.asarray(seen.indices)]
+        stop = self.stop[number]
+        breaks = np.flatnonzero(data == 10)
+        last = np.searchsorted(starts, breaks) - 1  # the word before a line end, if it is of the same text
+        last = last[(last >= 0) & (starts[last] >= at[np.searchsorted(at, breaks, "right") - 1])] if len(starts) else last[:0]
+        stop[place[last]] = True
         ids, size = self.ids.get(number)
-        ends = np.cumsum(size)
-        return ids.astype(np.uint32), ends[number == 0], ends[self.stop[number] > 0]
+        after = np.cumsum(size)
+        return ids.astype(np.uint32), after[number == 0], after[stop]
 
 
 def places(doc_ends: np.ndarray, ends: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
@@ -181,18 +205,21 @@ def cut(where: np.ndarray, price: np.ndarray, window: int = WINDOW, last: bool =
     """
     pos, pen = [0, *where.tolist()], [0, *price.tolist()]
     best, came = [0] * len(pos), [0] * len(pos)
-    queue: deque[tuple[int, int]] = deque([(0, 0)])  # (cost plus place, number), costs ascending
+    # the queue's live part begins at front: costs plus places, ascending, and their numbers
+    level, number, front = [0], [0], 0
     for j in range(1, len(pos)):
         p = pos[j]
-        while pos[queue[0][1]] < p - window:
-            queue.popleft()
-        cost, i = queue[0]
-        came[j] = i
-        best[j] = cost = cost + window - p + pen[j]
+        least = p - window
+        while pos[number[front]] < least:
+            front += 1
+        came[j] = number[front]
+        best[j] = cost = level[front] - least + pen[j]
         cost += p
-        while queue and queue[-1][0] >= cost:
-            queue.pop()
-        queue.append((cost, j))
+        while len(level) > front and level[-1] >= cost:
+            level.pop()
+            number.pop()
+        level.append(cost)
+        number.append(j)
     j = len(pos) - 1
     if not last:
         tail = [k for k in range(len(pos) - 1, 0, -1) if pos[k] >= pos[-1] - window]
@@ -232,7 +259,7 @@ class _Stream:
             return None
         doc_ends = np.array([d[2] for d in self.docs], np.int64)
         marks = np.concatenate(self.marks)
-        cuts = cut(*places(doc_ends, marks), self.window, last=False)
+        cuts = cut(*places(doc_ends, marks, min(STRIDE, self.window // 2)), self.window, last=False)
         if last:
             done = cuts[-1] if cuts else 0
             if len(self.ids) - done > self.window:
@@ -271,14 +298,17 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW) ->
     32-bit integers. A null text counts as empty: its only id is END_ID. Documents keep the table's order within
     a partition and sequences never mix partitions; the last tokens of a partition fill windows whose sizes are
     powers of two. Repeated rows are packed each. tokenizer: path of the vocabulary file on every executor.
+    window must be 2 or more.
     """
+    if window < 2:
+        raise ValueError("a window has two tokens at least")
 
     def run(batches):
         path = tokenizer or default_tokenizer()
         words = _known.get(path) or _known.setdefault(path, Words(path))
         stream = _Stream(TaskContext.get().partitionId(), window)
-        for part in slices(batches):
-            ids, doc_ends, ends = words.encode(part.column("text").to_pylist())
+        for part in slices(batches, limit=SLICE):
+            ids, doc_ends, ends = words.encode(part.column("text"))
             stream.add(part.column("doc_id").to_pylist(), ids, doc_ends, ends)
             if len(stream.ids) >= BLOCK and (out := stream.flush(False)):
                 yield out

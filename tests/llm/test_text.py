@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from barloom.llm import decontam, langid, linecrf, packing, rules, secrets, wrapper
@@ -34,6 +35,26 @@ def test_packing_is_a_round_trip(spark):
     assert packing.pack(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_ids_are_the_tokenizers():
+    rng = np.random.default_rng(8)
+    bits = ["don't", "it'S", "naïve", "e\u0301a", "Straße", "x<y", "<|endoftext|>", "12ab", "a.b!?", "…”", "日本", "🙂👍", "\u00a0", "\u0085", "\t", "\n", "\r\n", "\x0b", " ", "  ", "\u0301", "İ", "ÀÖ", "×÷", "'", "'ll", "_", "\x7f", "\x00", "ﬁ"]
+    texts = ["".join(bits[k] + " " * int(rng.integers(0, 2)) for k in rng.integers(0, len(bits), n)) for n in rng.integers(0, 30, 2000)]
+    words = packing.Words(packing.default_tokenizer())
+    ids, ends, stops = words.encode(pa.array(texts))
+    own = [e.ids for e in words.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in np.split(ids, ends)[:-1]] == [[*x, 1] for x in own]
+    assert set(ends) <= set(stops)
+
+
+def test_small_windows(spark):
+    rows = {1: prose(1, 300), 2: None, 3: "word " * 50}
+    got = packing.pack(documents(spark, rows), window=32).toPandas()
+    assert got.groupby("sequence_id").length.sum().max() <= 32
+    assert got.groupby("doc_id").length.sum().equals(got.groupby("doc_id").doc_tokens.max())
+    twice = packing.pack(documents(spark, rows).unionByName(documents(spark, rows))).toPandas()
+    assert (twice.groupby("doc_id").length.sum() == 2 * twice.groupby("doc_id").doc_tokens.max()).all()
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_cuts_cost_least(seed):
     rng = np.random.default_rng(seed)
