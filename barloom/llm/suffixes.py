@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -22,27 +23,62 @@ from .runs import NO_ID, Run, answer_repeated, ask, ask_repeated, bucket_count,
 WIDTH, K = 50, 16
 REACH = WIDTH - K  # bytes left of an anchor that a window can have
 ROW = WIDTH + REACH
+STEP = -(-ROW // 8)  # words of eight bytes a row
+LAST = STEP - 1
 _MULT = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes that are hashed at once; their places fit the low bits of a key.
+STRETCH = 1 << 15
+_LOW = np.uint64((1 << 17) - 1)
+
+
+def _apart(at: np.ndarray) -> np.ndarray:
+    """Whether a window of WIDTH bytes that starts at each byte ends in the same text."""
+    fits = np.ones(at[-1], bool)
+    ends = at[1:][np.diff(at) > 0]
+    late = ends[:, None] - 1 - np.arange(WIDTH - 1)
+    fits[late[late >= 0]] = False
+    return fits
 
 
 def anchors(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Byte places of all anchors, ascending, and the 40-bit hashes of their grams."""
+    """Byte places of all anchors, ascending, and the 40-bit hashes of their grams.
+
+    Of equal least hashes in a window the leftmost counts. The bytes are gone through in stretches that fit the cache.
+    """
     n = len(data)
     if n < WIDTH:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h, power, width = _TABLE[data], _MULT, 1
-    while width < K:
-        h = h[:-width] * power + h[width:]
-        with np.errstate(over="ignore"):
-            power = power * power
-        width *= 2
-    h = mix(h)
-    _, place = least_grams(h, at, WIDTH, K)
-    chosen = np.zeros(n, bool)
-    chosen[place] = True
-    place = np.flatnonzero(chosen)
+    fits, count = _apart(at), WIDTH - K + 1
+    places, hashes = [], []
+    for lo in range(0, n - WIDTH + 1, STRETCH):
+        hi = min(lo + STRETCH, n - WIDTH + 1)
+        h, power, width = _TABLE[data[lo : hi + WIDTH - 1]], _MULT, 1
+        while width < K:
+            h, last = h[:-width] * power, h[width:]
+            h += last
+            with np.errstate(over="ignore"):
+                power = power * power
+            width *= 2
+        h = mix(h)
+        key = (h & ~_LOW) | np.arange(len(h), dtype=np.uint64)
+        size = 1
+        while 2 * size <= count:
+            key = np.minimum(key[:-size], key[size:])
+            size *= 2
+        if size < count:
+            key = np.minimum(key[: len(key) - (count - size)], key[count - size :])
+        chosen = np.zeros(len(h), bool)
+        chosen[(key & _LOW).view(np.int64)[fits[lo:hi]]] = True
+        place = np.flatnonzero(chosen)
+        # a gram near a stretch's end may be the next one's anchor too
+        own = place[place + lo > places[-1][-1]] if places and len(places[-1]) else place
+        if len(own):
+            places.append(own + lo)
+            hashes.append(h[own])
+    if not places:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     # least hashes are small; mixed again, they spread over the buckets
-    return place, mix(h[place]) >> np.uint64(24)
+    return np.concatenate(places), mix(np.concatenate(hashes)) >> np.uint64(24)
 
 
 class Contexts:
@@ -109,97 +145,115 @@ def front_decode(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return rows[source, np.arange(ROW)], shared, right, left, ids
 
 
-def merge(runs: list[tuple[list[int], list[int]]]) -> tuple[list[int], list[int]]:
+def merge(words: list[int], sizes: list[int], prefix: list[int]) -> tuple[list[int], list[int]]:
     """Order of all rows of sorted runs, numbered run after run, and the prefix each shares with the row before it.
 
-    A run is its rows as integers of ROW bytes and their shared prefixes. In the loser tree a head's prefix is with
-    the last winner: of two heads the one with the longer prefix is the less; only at equal prefixes are the rows
-    compared, which gives the loser's prefix with the new winner.
+    words has STEP integers a row, eight bytes each; sizes the rows of each run; prefix each row's shared prefix with
+    its run's row before. In the loser tree a head's prefix is with the last winner: of two heads the one with the
+    longer prefix is the less, unseen. Only at equal prefixes are the rows compared, from the word on in which the
+    known prefix ends; that gives the loser's prefix with the new winner.
     """
-    bits = 8 * ROW
     k = 1
-    while k < len(runs):
+    while k < len(sizes):
         k *= 2
-    end = 1 << bits
-    rows = [r for r, _ in runs] + [[]] * (k - len(runs))
-    lcps = [p for _, p in runs] + [[]] * (k - len(runs))
-    base, total = [], 0
-    for r in rows:
-        base.append(total)
-        total += len(r)
-    head, shared, at = [r[0] if r else end for r in rows], [0] * k, [0] * k
+    sizes = sizes + [0] * (k - len(sizes))
+    at, total = [], 0
+    for n in sizes:
+        at.append(total)
+        total += n
+    end = [a + n for a, n in zip(at, sizes, strict=True)]
+    shared = [0 if n else -1 for n in sizes]  # -1: the run is at its end
+
+    def less(a: int, b: int, known: int) -> tuple[bool, int]:
+        """Whether run a's head is the less, and the prefix of both heads; on ties a."""
+        i, j, w = at[a] * STEP, at[b] * STEP, known >> 3
+        while w < STEP:
+            x, y = words[i + w], words[j + w]
+            if x != y:
+                return x < y, 8 * w + ((64 - (x ^ y).bit_length()) >> 3)
+            w += 1
+        return True, ROW
 
     # first round: winners from the leaves up, losers stay in the tree
     tree, winner = [0] * k, [0] * k + list(range(k))
     for node in range(k - 1, 0, -1):
         a, b = winner[2 * node], winner[2 * node + 1]
-        # all heads have prefix 0 with the empty string before the first winner
-        if head[b] < head[a]:
+        if shared[b] < 0:
+            winner[node], tree[node] = a, b
+            continue
+        if shared[a] < 0:
+            winner[node], tree[node] = b, a
+            continue
+        first, p = less(a, b, 0)
+        if not first:
             a, b = b, a
-        winner[node], tree[node] = a, b
-        x = head[a] ^ head[b]
-        shared[b] = ROW if not x else (bits - x.bit_length()) // 8 if head[b] < end else -1
+        winner[node], tree[node], shared[b] = a, b, p
     w = winner[1] if k > 1 else 0
     order, out = [], []
     own = 0
     for _ in range(total):
-        order.append(base[w] + at[w])
-        out.append(own)
-        at[w] += 1
         i = at[w]
-        if i < len(rows[w]):
-            head[w], shared[w] = rows[w][i], lcps[w][i]
-        else:
-            head[w], shared[w] = end, -1
+        order.append(i)
+        out.append(own)
+        i += 1
+        at[w] = i
+        sw = prefix[i] if i < end[w] else -1
         node = (w + k) >> 1
         while node:
             o = tree[node]
-            sw, so = shared[w], shared[o]
+            so = shared[o]
             if so > sw:
-                tree[node], w = w, o
+                tree[node], shared[w] = w, sw
+                w, sw = o, so
             elif so == sw and so >= 0:
-                x = head[w] ^ head[o]
-                p = ROW if not x else (bits - x.bit_length()) // 8
-                if head[o] < head[w]:
-                    shared[w] = p
-                    tree[node], w = w, o
+                # as in less, without its call
+                g = so >> 3
+                i, j = at[w] * STEP + g, at[o] * STEP + g
+                x, y = words[i], words[j]
+                while x == y and g < LAST:
+                    g, i, j = g + 1, i + 1, j + 1
+                    x, y = words[i], words[j]
+                if x < y:
+                    shared[o] = 8 * g + ((64 - (x ^ y).bit_length()) >> 3)
+                elif x > y:
+                    tree[node], shared[w] = w, 8 * g + ((64 - (x ^ y).bit_length()) >> 3)
+                    w = o
                 else:
-                    shared[o] = p
+                    shared[o] = ROW
             node >>= 1
-        own = shared[w]
+        shared[w] = own = sw
     return order, out
 
 
 def answer_masks(blobs: list[bytes]) -> list[bytes]:
     """For each row of each blob five bytes: bit o is set if the window that starts o bytes before the anchor is in a smaller document."""
     parts = [front_decode(b) for b in blobs]
-    rows, _, right, left, ids = (np.concatenate([p[k] for p in parts]) for k in range(5))
-    runs = []
-    for r, shared, *_ in parts:
-        raw = r.tobytes()
-        runs.append(([int.from_bytes(raw[i : i + ROW], "big") for i in range(0, len(raw), ROW)], shared.tolist()))
-    order, shared = (np.array(x, np.int32) for x in merge(runs))
-    del runs
-    rows, right, left, ids = rows[order], right[order].astype(np.int64), left[order].astype(np.int64), ids[order]
-    # rows that share less than a gram with both neighbours are alone
-    masks = np.zeros(len(rows), np.uint64)
-    tail = np.zeros(len(rows), np.uint64)
+    rows, prefix, right, left, ids = (np.concatenate([p[k] for p in parts]) for k in range(5))
+    wide = np.zeros((len(rows), 8 * STEP), np.uint8)
+    wide[:, :ROW] = rows
+    order, shared = (np.array(x, np.int64) for x in merge(wide.view(">u8").ravel().tolist(), [len(p[4]) for p in parts], prefix.tolist()))
+    del wide
+    # the rows by document, so that the first of equal windows is the least document's
+    by = np.argsort(ids[order], kind="stable")
+    row = order[by]
+    rows, right, left, ids = rows[row], right[row].astype(np.int64), left[row].astype(np.int64), ids[row]
+    masks, tail = np.zeros(len(rows), np.uint64), np.zeros(len(rows), np.uint64)
     for o in range(REACH + 1):
         if o:
             tail = mix(tail * _MULT + rows[:, WIDTH + o - 1])
-        group = np.cumsum(shared < WIDTH - o).astype(np.uint64)
-        valid = np.flatnonzero((left >= o) & (right >= WIDTH - o))
-        if not len(valid):
+        apart = shared < WIDTH - o
+        # rows that share too little with both neighbours are alone
+        company = ~(apart & np.append(apart[1:], True))[by]
+        own = np.flatnonzero(company & (left >= o) & (right >= WIDTH - o))
+        if not len(own):
             continue
-        key = mix(tail[valid] * _MULT + group[valid])
-        by = np.lexsort((ids[valid], key))
-        key = key[by]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        own = ids[valid][by]
-        least = np.repeat(own[first], np.diff(np.append(first, len(key))))
-        masks[valid[by[least < own]]] |= np.uint64(1 << o)
+        group = np.cumsum(apart).astype(np.uint64)[by[own]]
+        number, _ = pd.factorize(mix(tail[own] * _MULT + group))
+        first = np.empty(int(number.max()) + 1, np.int64)
+        first[number[::-1]] = own[::-1]
+        masks[own[ids[first[number]] < ids[own]]] |= np.uint64(1 << o)
     back = np.empty(len(rows), np.uint64)
-    back[order] = masks
+    back[row] = masks
     raw = back.view(np.uint8).reshape(-1, 8)[:, :5]
     out, lo = [], 0
     for p in parts:
