@@ -18,6 +18,8 @@ from .common import materialize
 MIN_WORDS, REPEAT_WINDOW, MAX_REPEAT_PERCENT = 10, 5, 20
 #: Words of a language's reference; the rest share one more bin.
 COMMON = 32
+#: Flags that tell most other words from a language's common ones.
+SLOTS = 1024
 #: Documents with fewer words, and languages with fewer in all, are not judged by distance.
 GUARD_WORDS, GUARD_LANG_WORDS = 60, 2000
 #: Greatest distances (square roots of divergences in bits) that a kept document may have.
@@ -36,11 +38,17 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, BLANK + "+"), lambda w: w != "")
+    return F.array_remove(F.split(text, BLANK + "+"), "")
 
 
-def repeated_words(own: Column) -> Column:
-    """Words of an array that lie in a run of REPEAT_WINDOW words found more than once."""
+def run_hashes(hashes: Column) -> Column:
+    """A hash of each run of REPEAT_WINDOW neighbours of an array of word hashes, by the run's start."""
+    inner = lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(REPEAT_WINDOW)])
+    return F.when(F.size(hashes) < REPEAT_WINDOW, F.array().cast("array<bigint>")).otherwise(F.transform(F.sequence(F.lit(0), F.size(hashes) - REPEAT_WINDOW), inner))
+
+
+def repeated_words(runs: Column) -> Column:
+    """Words that lie in a run of REPEAT_WINDOW words found more than once, from the hashes of all runs."""
     width = REPEAT_WINDOW
 
     def covered(keys: Column) -> Column:
@@ -51,14 +59,23 @@ def repeated_words(own: Column) -> Column:
         add = lambda acc, q: F.struct((acc["n"] + F.least(F.lit(width), q - acc["last"])).alias("n"), q.alias("last"))
         return F.aggregate(at, start, add, lambda acc: acc["n"])
 
-    def keys(h: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(h) - width), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(width)]))
+    return F.when(F.size(F.array_distinct(runs)) == F.size(runs), 0).otherwise(covered(runs))
+
 
-    whole = _let(F.transform(own, lambda w: F.xxhash64(w)), lambda h: _let(keys(h), lambda k: F.when(F.size(F.array_distinct(k)) == F.size(k), 0).otherwise(covered(k))))
-    return F.when(F.size(own) < width, 0).otherwise(whole)
+def common_counts(hashes: Column, common: Column, slots: Column) -> Column:
+    """How often each of the common words (their hashes, up to COMMON) is among an array of word hashes, COMMON counts.
+
+    slots, one flag for each remainder of a hash by SLOTS, tells most other words apart at one look-up. The rest
+    turn into a letter each, so that counting is taking a letter out of a short string.
+    """
+    letters = F.array(*[F.lit(chr(64 + k) if k else "") for k in range(COMMON + 1)])
+    likely = F.filter(hashes, lambda h: F.get(slots, F.pmod(h, F.lit(SLOTS)).cast("int")))
+    said = F.array_join(F.transform(likely, lambda h: F.get(letters, F.array_position(common, h).cast("int"))), "")
+    return _let(said, lambda x: F.transform(F.sequence(F.lit(1), F.lit(COMMON)), lambda k: F.length(x) - F.length(F.replace(x, F.get(letters, k), F.lit("")))))
 
 
 def _left(text: Column, pattern: str) -> Column:
+    """Characters of text that pattern, a class, takes."""
     return F.length(text) - F.length(F.regexp_replace(text, f"{pattern}+", ""))
 
 
@@ -93,23 +110,34 @@ def judge(docs: DataFrame) -> DataFrame:
     """
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "coalesce(cast(text as string), '') text", "cast(lang as string) lang")
     refs = materialize(common_words(docs), "references").where(F.col("total") >= GUARD_LANG_WORDS)
-    text, w = F.col("text"), F.col("w")
     small = F.broadcast if refs.count() <= BROADCAST_LANGS else (lambda df: df)
-    own = docs.join(small(refs.select("lang", "ref_words")), "lang", "left").withColumn("w", words(text))
+    known = refs.select("lang", F.transform("ref_words", lambda x: F.xxhash64(x)).alias("common"))
+    flags = F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda k: F.exists("common", lambda h: F.pmod(h, F.lit(SLOTS)) == k))
+    known = known.select("lang", "common", flags.alias("slots"))
+    none = {"common": F.array().cast("array<bigint>"), "slots": F.array().cast("array<boolean>")}
+    text = F.col("text")
+    own = docs.join(small(known), "lang", "left").select("doc_id", "lang", "text", *[F.coalesce(k, v).alias(k) for k, v in none.items()])
+    # each step's columns are worked out once, and outside of lambdas their functions are compiled
+    own = own.withColumns({"h": F.transform(words(text), lambda x: F.xxhash64(x)), "rest": F.regexp_replace(text, f"{CLASSES['letter']}+", "")})
+    own = own.withColumn("runs", run_hashes(F.col("h")))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    place = _let(F.coalesce("ref_words", F.array().cast("array<string>")), lambda ref: F.transform(w, lambda x: F.array_position(ref, x)))
-    counted = own.select(
+    chars, rest = F.length(text), F.col("rest")
+    classes = [(chars - F.length(rest) if c == "letter" else _left(rest, p)).alias(c) for c, p in CLASSES.items()]
+    own = own.select(
         "doc_id",
         "lang",
-        F.size(w).cast("long").alias("n_words"),
-        F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
+        F.size("h").alias("n_words"),
+        _left(rest, r"[#*$%&|<>]").cast("long").alias("n_symbols"),
         _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        repeated_words(w).cast("long").alias("n_repeat_words"),
-        F.length(text).alias("n_chars"),
-        *[_left(text, p).alias(c) for c, p in CLASSES.items()],
-        _let(place, lambda idx: F.transform(F.sequence(F.lit(0), F.lit(COMMON)), lambda k: (F.size(idx) - F.size(F.array_remove(idx, k))).cast("double"))).alias("hist"),
+        repeated_words(F.col("runs")).cast("long").alias("n_repeat_words"),
+        chars.alias("n_chars"),
+        *classes,
+        common_counts(F.col("h"), F.col("common"), F.col("slots")).alias("found"),
     )
+    others = F.col("n_words") - F.aggregate("found", F.lit(0), lambda a, b: a + b)
+    hist = F.transform(F.concat(F.array(others), F.col("found")), lambda n: n.cast("double")).alias("hist")
+    word_chars = (F.col("n_chars") - F.col("blank")).cast("long").alias("word_chars")
+    counted = own.select("doc_id", "lang", F.col("n_words").cast("long").alias("n_words"), word_chars, "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars", *CLASSES, hist)
     counted = materialize(counted, "counted")
     classes = list(CLASSES)
     rest = F.col("n_chars") - sum(F.col(c) for c in classes)
