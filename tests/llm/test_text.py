@@ -204,12 +204,65 @@ def test_pages(spark):
     assert wrapper.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
-def test_tree_matching():
-    t = lambda s: wrapper.unpack_tree(s)
-    a, b = t("b(p(#1) p(#2) d(#3))"), t("b(p(#1) d(#3) d(#4))")
-    assert wrapper.pack_tree(a) == "b(p(#1) p(#2) d(#3))"
-    assert wrapper.match(a, b) == (5, [(1, 1), (3, 3)]) or wrapper.match(a, b)[0] == 5
-    assert wrapper.match(t("a(#1)"), t("b(#1)")) == (0, [])
+def heaviest(a, b):
+    """Weight of a heaviest match by trying all order-preserving pairings of children."""
+    if a.name != b.name:
+        return 0
+    if a.name == "":
+        return 2 if a.key == b.key else 1
+
+    def lists(x, y):
+        if not x or not y:
+            return 0
+        return max(lists(x[1:], y), lists(x, y[1:]), heaviest(x[0], y[0]) + lists(x[1:], y[1:]))
+
+    return 1 + lists(a.children, b.children)
+
+
+def random_tree(rng, depth=0):
+    if depth == 3 or rng.random() < 0.3:
+        return f"#{rng.integers(0, 3)},5,5 "
+    return "abp"[rng.integers(0, 3)] + "(" + "".join(random_tree(rng, depth + 1) for _ in range(rng.integers(0, 4))) + ")"
+
+
+@pytest.mark.parametrize("cells", [wrapper.CELLS, 0])
+def test_tree_matching(monkeypatch, cells):
+    monkeypatch.setattr(wrapper, "CELLS", cells)
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        a, b = (wrapper.unpack_tree("r(" + "".join(random_tree(rng) for _ in range(4)) + ")") for _ in range(2))
+        total, pairs = wrapper.match(a, b)
+        assert all(u.name == v.name for u, v in pairs) and len({u.number for u, _ in pairs}) == len({v.number for _, v in pairs}) == len(pairs)
+        assert total == sum(2 if u.name == "" and u.key == v.key else 1 for u, v in pairs)
+        assert total == heaviest(a, b) or not cells  # wide elements pair their children kind by kind
+    assert wrapper.match(wrapper.unpack_tree("a(#1,1,1 )"), wrapper.unpack_tree("b(#1,1,1 )")) == (0, [])
+
+
+def test_wrapper_finds_the_region_without_element_rules(spark):
+    """Menus, adverts and footers whose words differ on every page, in elements without telling names."""
+    rng = np.random.default_rng(6)
+    said = lambda n: " ".join(f"w{k}" for k in rng.integers(0, 900, n))
+    pages, want = [], {}
+    for k in range(14):
+        body = [said(8)] + [said(int(n)) for n in rng.integers(5, 60, 5)]
+        wide = "".join(f"<p>{x}</p>" for x in body[1:])
+        links = "".join(f'<li><a href="#">{said(2)}</a></li>' for _ in range(6))
+        core = f'<div id="c{k}"><h2>{body[0]}</h2><div>{wide}</div></div>' if k < 8 else f"<section><h2>{body[0]}</h2>{wide}</section>"
+        pages.append((k, f"https://h.example/{k}", f"<html><body><div class=m><ul>{links}</ul></div><div>{said(9)}</div>{core}<div class=z>(c) {said(7)}</div></body></html>"))
+        want[k] = "\n".join(body)
+    pages += [(100 + k, "https://h.example/e", "") for k in range(5)] + [(0, pages[0][1], pages[0][2])] * 3
+    got = wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3), rules=False).collect()
+    assert len(got) == len(pages) and all(r.text == want.get(r.page_id, "") for r in got)
+
+
+def test_deep_and_wide_pages(spark):
+    deep = "<div>" * 10_000 + "deep" + "</div>" * 10_000
+    wide = "".join(f"<p>{k}</p>" for k in range(3000))
+    pages = [(k, f"http://h.example/{k}", (deep if k % 2 else wide) + f"<p>own {k}</p>") for k in range(12)]
+    got = rows_of(wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string")), "page_id")
+    assert all(got[k].text.endswith(f"own {k}") for k in range(12))
+    marked = '<body class="x"><div class="content has-sidebar"><article><p>in</p></article></div><nav><article><p>out</p></article></nav></body>'
+    assert wrapper.extract(spark.createDataFrame([(1, "u", marked)], "page_id long, url string, html string")).first().text == "in"
 
 
 def test_leaks(spark):
