@@ -52,7 +52,8 @@ def op8_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(_documents(spark, sf_dir))
+    docs = _documents(spark, sf_dir)
+    return secrets.scan(docs, secrets.dictionary(docs))
 
 
 def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

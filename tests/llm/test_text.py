@@ -1,6 +1,7 @@
 """Packing, secrets, rules, language, quality, pages and decontamination."""
 
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -96,12 +97,77 @@ def test_secret_spans(spark):
     for i, want in base.items():
         assert got[i].base_sha256 == sha(",".join(want).encode()), got[i]
     assert (got[1].n_assign, got[1].n_access, got[1].n_hex) == (1, 1, 1)
-    assert got[4].spans == "guess:9:24"
+    assert got[4].spans == "guess:9:24" and got[6].spans == "assign:4:18"
+    strong = secrets.find("x token=q9Zr7LwX2vTb1")
+    assert strong == [(2, 21, 0), (8, 21, 3)]  # a value inside a pattern's span is costed too
     clean = rows_of(secrets.redact(documents(spark, rows)))
     assert clean[6].text == "ÄÖ🙂 [SECRET]" and clean[6].n_chars == len(clean[6].text) and clean[5].text is None and clean[2].text == rows[2]
     assert secrets.redact(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def segment_bits(value, i, j, words):
+    """Least cost of value[i:j] as one segment, read off the definitions."""
+    bits, low, part = secrets._BITS, value.lower(), value[i:j]
+    kinds = [secrets._kind(c) for c in value]
+    plain = "".join(dict(zip("013457@$!", "oleastasi", strict=True)).get(c, c) for c in low)
+    out = [np.inf]
+    if j == i + 1:
+        out.append(bits[kinds[i]] + (i > 0 and kinds[i] != kinds[i - 1]))
+    if plain[i:j] in words:
+        out.append(words[plain[i:j]] + 2 + sum(a != b for a, b in zip(low[i:j], plain[i:j], strict=True)) + sum(c.isupper() for c in part))
+    if re.fullmatch(r"(19|20)\d\d", part):
+        out.append(7.0)
+    elif re.fullmatch(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d", part):
+        out.append(15.5)
+    for u in (1, 2, 3, 4):
+        unit, times = low[i : i + u], (j - i) // u
+        if len(unit) == u and times > 1 and low[i:j] == unit * times and low[j : j + u] != unit:
+            out.append(sum(bits[k] for k in kinds[i : i + u]) + np.log2(j - i) + 1)
+    steps = [low[k : k + 2] in secrets._STEP for k in range(len(value))]
+    if j - i > 2 and all(steps[i : j - 1]) and not (j < len(value) and steps[j - 1]):
+        out.append(bits[kinds[i]] + np.log2(j - i) + 2)
+    return min(out)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_guess_costs_over_all_segmentations(seed):
+    rng = np.random.default_rng(seed)
+    words = secrets.ranks(["pass", "cat", "tor", "abc"])
+    bits = ["pass", "P4s", "s", "cat", "C", "1999", "12", "ab", "qwe", "aaa", "x", "é", "7", "_", "2001-02-03"]
+    for _ in range(60):
+        value = "".join(bits[k] for k in rng.integers(0, len(bits), 5))[:13]
+        n, best = len(value), np.inf
+        known = {(i, j): segment_bits(value, i, j, words) for i in range(n) for j in range(i + 1, n + 1)}
+        for cuts in range(1 << (n - 1)):
+            at = [0, *(k + 1 for k in range(n - 1) if cuts >> k & 1), n]
+            total = 0.0
+            for i, j in zip(at, at[1:], strict=False):
+                total += known[i, j]
+                if total >= best:
+                    break
+            best = min(best, total)
+        assert secrets.guess_bits(value, words) == pytest.approx(best), value
+
+
+def test_long_values_take_little_time():
+    for text in ("7" * 1_000_000, "a" * 1_000_000, "ab" * 500_000, "key=" + "x" * 1_000_000, "token: " + "12" * 500_000, "key " + "1" * 300_000):
+        began = time.process_time()
+        secrets.find("key " + text)
+        assert time.process_time() - began < 5
+    assert secrets.guess_bits("ab" * 500_000) < 40
+    digits = "".join(map(str, np.random.default_rng(1).integers(0, 10, 200_000)))
+    assert secrets.find("password=" + digits)[-1] == (9, 9 + len(digits), 3)
+
+
+def test_dictionary(spark):
+    docs = documents(spark, {1: "zebra Zebra lion the_zebra", 2: None, 3: "lion x1 apple"})
+    words = secrets.dictionary(docs, 2)
+    assert list(words)[-1] == "zebra" and "apple" not in words and words["zebra"] > words["lion"]
+    assert secrets.dictionary(spark.createDataFrame([], SCHEMA)) == secrets.ranks(secrets.WORDS)
+    twice = secrets.scan(docs.unionByName(docs), words)
+    assert twice.count() == 6 and secrets.scan(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
 def test_guess_costs_are_ordered():
     weak = ["password", "qwertyuiop", "aaaaaaaaaaaa", "19991231", "abcabcabc", "P4ssw0rd"]
     assert max(map(secrets.guess_bits, weak)) < secrets.MIN_BITS < secrets.guess_bits("zQ8#kV2!mT7p")
