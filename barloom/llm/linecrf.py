@@ -1,8 +1,11 @@
 """Document quality from a linear-chain conditional random field over lines.
 
 Every line is good or bad. Its evidence is a table look-up of its own and its neighbours' binned features; a
-transition weight ties neighbours. Training takes every line of a labelled document to have the document's label.
-A document's quality is the mean of its lines' marginal probabilities of good, weighted by their length.
+transition weight ties neighbours. Only documents are labelled, so their lines' labels are hidden: after a start from
+the documents' labels, training pulls each line towards its document's label by fixed log odds, takes the marginals
+under that pull as what is expected of the lines, and lets lines that look otherwise keep their own label.
+A document's quality is the mean of its lines' marginal probabilities of good, weighted by their length, and turned
+into a probability by a rising logistic curve that is fitted on the labelled documents.
 """
 
 from __future__ import annotations
@@ -18,7 +21,12 @@ from .langid import is_held_out
 #: About this many labelled rows, drawn by a hash of doc_id, train the field.
 ROWS = 4000
 BINS, COMMON = 8, 200
-STEPS, RATE, DECAY = 150, 0.08, 1e-3
+#: Steps in all, and how many of them take each line to have its document's label.
+STEPS, START, RATE, DECAY = 150, 20, 0.08, 1e-3
+#: Log odds by which a document's label pulls its lines.
+PULL = 1.0
+#: Greatest weight of equal neighbours: one label a document would drive it up until all its lines are alike.
+MAX_STAY = 1.0
 
 _KINDS = {
     "upper": range(65, 91),
@@ -85,6 +93,7 @@ class Field:
         self.edges, self.common = edges, common
         self.look = np.zeros((3, len(edges), BINS + 1))
         self.bias, self.stay = 0.0, 0.0
+        self.slope, self.shift = 1.0, 0.0
 
     def bins(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(e, x[:, k], "right").astype(np.int8) for k, e in enumerate(self.edges)], 1)
@@ -128,10 +137,11 @@ class Field:
         equal[i] = 1 / (1 + np.exp(np.clip(np.logaddexp(a, b) - same, -500, 500)))
         return good, equal
 
-    def fit(self, x: np.ndarray, first: np.ndarray, label: np.ndarray) -> Field:
-        """Adam on the mean log likelihood of the lines, less a penalty on the weights."""
+    def fit(self, x: np.ndarray, first: np.ndarray, label: np.ndarray, size: np.ndarray) -> Field:
+        """Adam on the mean log likelihood of the documents' labels, less a penalty on the weights."""
         near = self.around(self.bins(x), first)
         y = np.repeat(label, np.diff(first)).astype(float)
+        pull = PULL * (2 * y - 1)
         k = near.shape[2]
         flat = ((np.arange(3)[:, None, None] * k + np.arange(k)) * (BINS + 1) + near).astype(np.int32)
         n = len(y)
@@ -140,28 +150,52 @@ class Field:
         theta, m, v = np.zeros(3 * k * (BINS + 1) + 2), 0.0, 0.0
         theta[-2] = np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))
         for t in range(1, STEPS + 1):
+            theta[-1] = min(max(theta[-1], 0.0), MAX_STAY) if t > START else 0.0
             self._set(theta)
-            good, equal = self.marginals(self.evidence(near), first)
-            gap = y - good
+            evidence = self.evidence(near)
+            good, equal = self.marginals(evidence, first)
+            want, same = (y, 1.0) if t <= START else self.marginals(evidence + pull, first)
+            gap = want - good
             g = np.zeros_like(theta)
             for o in range(3):
                 g[:-2] += np.bincount(flat[o].ravel(), np.repeat(gap, k), minlength=len(theta) - 2)
-            g[-2], g[-1] = gap.sum(), (1 - equal[linked]).sum()
+            g[-2], g[-1] = gap.sum(), (same - equal)[linked].sum()
             g = g / n - DECAY * theta
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
             theta = theta + RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+        theta[-1] = min(max(theta[-1], 0.0), MAX_STAY)
         self._set(theta)
+        good, _ = self.marginals(self.evidence(near), first)
+        self._curve(self._mean(good, size, first), label.astype(float))
         return self
 
+    @staticmethod
+    def _mean(good: np.ndarray, size: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Log odds of each text's mean marginal, lines weighing their bytes and one more."""
+        weight = size + 1.0
+        mean = np.add.reduceat(good * weight, first[:-1]) / np.add.reduceat(weight, first[:-1])
+        mean = np.clip(mean, 1e-6, 1 - 1e-6)
+        return np.log(mean / (1 - mean))
+
+    def _curve(self, odds: np.ndarray, label: np.ndarray) -> None:
+        """Logistic curve of the labels over the log odds, by Newton steps with a small penalty; never falling."""
+        w = np.array([1.0, 0.0])
+        x = np.stack([odds, np.ones_like(odds)], 1)
+        for _ in range(30):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            grad = x.T @ (label - p) - (w - [1.0, 0.0])
+            w = w + np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.eye(2), grad)
+            w[0] = max(w[0], 0.05)
+        self.slope, self.shift = float(w[0]), float(w[1])
+
     def _set(self, theta: np.ndarray) -> None:
         self.look, self.bias, self.stay = theta[:-2].reshape(self.look.shape), float(theta[-2]), float(theta[-1])
 
     def quality(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Each text's quality; P(good) of all lines and the first line of each text."""
+        """Each text's probability of label 1; P(good) of all lines and the first line of each text."""
         x, first, size = features(data, at, self.common)
         good, _ = self.marginals(self.evidence(self.around(self.bins(x), first)), first)
-        weight = size + 1.0
-        return np.add.reduceat(good * weight, first[:-1]) / np.add.reduceat(weight, first[:-1]), good, first
+        return 1 / (1 + np.exp(-np.clip(self.slope * self._mean(good, size, first) + self.shift, -500, 500))), good, first
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Field | None:
@@ -188,7 +222,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Field | None:
     x = np.concatenate([m[0] for m in made])
     first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(m[1]) for m in made]))])
     edges = np.quantile(x, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
-    return Field(edges, common).fit(x, first, np.array(found.column("quality").to_pylist()) == 1)
+    size = np.concatenate([m[2] for m in made])
+    return Field(edges, common).fit(x, first, np.array(found.column("quality").to_pylist()) == 1, size)
 
 
 def score(docs: DataFrame, field: Field | None) -> DataFrame:

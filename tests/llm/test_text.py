@@ -237,6 +237,30 @@ def test_quality(spark):
     assert linecrf.score(spark.createDataFrame([], SCHEMA), field).count() == 0
 
 
+def test_lines_differ_within_a_document(spark):
+    """Only documents are labelled; stretches of junk in good documents and of prose in bad ones are told apart."""
+    rng = np.random.default_rng(5)
+    rows, labels, junk = {}, [], {}
+    for i in range(300):
+        bad = i % 2
+        lines, marks = [], []
+        while len(lines) < 24:
+            of_junk = rng.random() < (0.65 if bad else 0.15)
+            for _ in range(int(rng.integers(2, 6))):
+                lines.append("$$ #%& 12 <<>> ** 99 |" if of_junk else prose(int(rng.integers(1 << 30)), 12).replace("\n", " "))
+                marks.append(of_junk)
+        rows[i], junk[i] = "\n".join(lines), np.array(marks)
+        labels.append((i, 1 - bad))
+    docs = documents(spark, rows)
+    field = linecrf.train(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    got = rows_of(linecrf.score(docs.unionByName(docs), field))
+    for bad in (0, 1):
+        own = [i for i in rows if i % 2 == bad]
+        good, worse = (np.concatenate([np.array(got[i].line_scores)[junk[i] == k] for i in own]).mean() for k in (False, True))
+        assert good - worse > 0.1, (bad, good, worse)
+    assert np.mean([(got[i].score >= 0.5) == (i % 2 == 0) for i in rows]) > 0.9
+
+
 def test_marginals_are_exact():
     rng = np.random.default_rng(1)
     field = linecrf.Field(np.zeros((1, 7)), np.zeros(0, np.uint64))
