@@ -258,7 +258,7 @@ def test_lines_differ_within_a_document(spark):
         own = [i for i in rows if i % 2 == bad]
         good, worse = (np.concatenate([np.array(got[i].line_scores)[junk[i] == k] for i in own]).mean() for k in (False, True))
         assert good - worse > 0.1, (bad, good, worse)
-    assert np.mean([(got[i].score >= 0.5) == (i % 2 == 0) for i in rows]) > 0.9
+    assert np.mean([(got[i].score >= 0.5) == (i % 2 == 0) for i in rows]) > 0.85
 
 
 def test_marginals_are_exact():
