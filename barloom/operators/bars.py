@@ -235,8 +235,8 @@ feat("rv_per_trade", _LRN, div("sum(lr * lr)", "sum(n)"), "count(lr) > 0 AND sum
 feat("rvol_over_sqrt_trades", _LRN, div("sqrt(sum(lr * lr))", "sqrt(sum(n))"), "count(lr) >= 3 AND sum(lr * lr) > 0 AND sum(n) > 0")
 feat("rv_cond_above_vwap", _LRVW, "sum(CASE WHEN c > vw THEN lr * lr END)")
 feat("rv_cond_below_vwap", _LRVW, "sum(CASE WHEN c <= vw THEN lr * lr END)")
-feat("rv_cond_down", S, "sum(CASE WHEN s < 0 THEN ln(1 + s) * ln(1 + s) END)", "min(s) > -1")
-feat("rv_cond_up", S, "sum(CASE WHEN s > 0 THEN ln(1 + s) * ln(1 + s) END)", "min(s) > -1")
+for _side, _cond in (("down", "s < 0"), ("up", "s > 0")):
+    feat(f"rv_cond_{_side}", S, f"sum(CASE WHEN {_cond} AND c > 0 AND pc > 0 THEN pow(ln(c / pc), 2) END)")
 _ENDS = r_rows("")
 for _name, _cond, _frame, _least in (("endgame_drift_share_last60", LATE_HOUR, _ENDS, "1e-12"), ("opening_impulse_share_30m", "sod <= 35940", _ENDS, "1e-12"), ("oc_return_last30m_share", "sod >= 55800", R, None)):
     feat(_name, _frame, div(total("r", _cond), "sum(r)"), f"abs(sum(r)) >= {_least}" if _least else f"sum(r) <> 0 AND count_if({_cond}) > 0")

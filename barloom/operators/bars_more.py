@@ -261,7 +261,7 @@ _GRAM = (*ENDS, add(tol=f"0.2 * {over('stddev_pop(a)')}", y1=lead("a"), y2=lead(
 _cols = ("k", "nr", "tol", "a", "y1", "y2")
 _two = "greatest(abs(a - a2), abs(y1 - y12)) <= tol AND y1 IS NOT NULL AND y12 IS NOT NULL"
 _three = f"{_two} AND abs(y2 - y22) <= tol"
-_APEN = (*_GRAM, Pairs(_cols, _cols, "true"), Group(("date", "symbol", "k", "nr"), (("n2", f"sum(CASE WHEN {_two} THEN 1e0 ELSE 0e0 END)"), ("n3", f"sum(CASE WHEN {_three} THEN 1e0 ELSE 0e0 END)"))))
+_APEN = (*_GRAM, Keep("nr >= 6"), Pairs(_cols, _cols, "true"), Group(("date", "symbol", "k", "nr"), (("n2", f"sum(CASE WHEN {_two} THEN 1e0 ELSE 0e0 END)"), ("n3", f"sum(CASE WHEN {_three} THEN 1e0 ELSE 0e0 END)"))))
 feat("approx_entropy_absret_m2_r02", _APEN, "avg(CASE WHEN n2 > 0 THEN ln(n2 / (nr - 1)) END) - avg(CASE WHEN n3 > 0 THEN ln(n3 / (nr - 2)) END)")
 _SAMP = (*_GRAM, Keep("nr >= 6"), Pairs(_cols, _cols, "k < k2"))
 # the left gram stops one earlier than the right one

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,11 +14,6 @@ from .frame import KEYS
 BATCH, FRAMES = 40, 20
 
 
-def grid(sample: DataFrame, names: list[str]) -> DataFrame:
-    """Every day and symbol of the sample with every feature's name."""
-    return sample.select(*KEYS, F.explode(F.array(*[F.lit(n) for n in names])).alias("feature"))
-
-
 def _long(wide: DataFrame, names: list[str]) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).alias("value")) for n in names])
     return wide.select(*KEYS, F.inline(pairs))
@@ -28,28 +22,34 @@ def _long(wide: DataFrame, names: list[str]) -> DataFrame:
 def deal(ticks: dict[str, DataFrame], sample: DataFrame) -> dict[str, DataFrame]:
     """Ticks of the sample's days and symbols, dealt out by them.
 
-    Every window, grouping and self-join of the features is by these keys and needs no other exchange.
+    Every window, grouping and self-join of the features is by these keys, or by these and more.
     """
     days = sample.select(*KEYS).distinct()
     return {name: df.join(days, list(KEYS), "left_semi").repartition(*KEYS) for name, df in ticks.items()}
 
 
 def feature_table(features: list[Feature], dealt: dict[str, DataFrame], sample: DataFrame) -> DataFrame:
-    """Rows (date, symbol, feature, value) for each day and symbol of the sample and each feature."""
-    parts = []
+    """Rows (date, symbol, feature, value) for each day and symbol of the sample and each feature.
+
+    The features' values join the sample wide, a row a day and symbol, and become long at the end.
+    """
+    wide = sample.select(*KEYS).distinct()
     for (source, _), group in by_frame(features).items():
         for lo in range(0, len(group), BATCH):
-            own = group[lo : lo + BATCH]
-            parts.append(_long(values(own, dealt[source]), [f.name for f in own]))
-    found = reduce(DataFrame.unionByName, parts)
-    return grid(sample.select(*KEYS).distinct(), [f.name for f in features]).join(found, [*KEYS, "feature"], "left")
+            wide = wide.join(values(group[lo : lo + BATCH], dealt[source]), list(KEYS), "left")
+    return _long(wide, [f.name for f in features])
+
+
+def grouped(features: list[Feature], frames: int = FRAMES) -> list[list[Feature]]:
+    """Features by jobs of at most so many frames each."""
+    groups = list(by_frame(features).values())
+    return [[f for g in groups[lo : lo + frames] for f in g] for lo in range(0, len(groups), frames)]
 
 
 def jobs(features: list[Feature], dealt: dict[str, DataFrame], sample: DataFrame, frames: int = FRAMES) -> Iterator[DataFrame]:
     """Feature tables of at most so many frames each; persist what deal() gave where several follow."""
-    groups = list(by_frame(features).values())
-    for lo in range(0, len(groups), frames):
-        yield feature_table([f for g in groups[lo : lo + frames] for f in g], dealt, sample)
+    for group in grouped(features, frames):
+        yield feature_table(group, dealt, sample)
 
 
 def status(table: DataFrame) -> DataFrame:

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.catalog import features
 from ..sources import files, sinks
-from .engine import deal, jobs, status
+from .engine import deal, feature_table, grouped, status
 from .feature import Feature
 
 
@@ -21,25 +25,73 @@ def chosen(only: str = "", exclude: str = "") -> list[Feature]:
     return [f for n, f in known.items() if (not names or n in names) and n not in out]
 
 
-def main(args: list[str] | None = None) -> None:
+def write(table: DataFrame, a: argparse.Namespace) -> None:
+    sinks.write_single(table, a.out) if a.single else sinks.write_partitions(table, a.out, a.overwrite)
+
+
+def run_all(own: list[Feature], dealt: dict[str, DataFrame], sample: DataFrame, a: argparse.Namespace) -> dict[str, str]:
+    """Writes all features, many in a job; where a job fails, its features run alone. Errors by feature."""
+    errors: dict[str, str] = {}
+    for group in grouped(own):
+        try:
+            write(feature_table(group, dealt, sample), a)
+        except (PySparkException, Py4JError):
+            for f in group:
+                try:
+                    write(feature_table([f], dealt, sample), a)
+                except (PySparkException, Py4JError) as e:
+                    errors[f.name] = f"error: {str(e).splitlines()[0]}"
+    return errors
+
+
+def report(own: list[Feature], days: list[str], sample: DataFrame, before: DataFrame | None, errors: dict[str, str], a: argparse.Namespace) -> DataFrame:
+    """Rows (feature, date, status): exists (was there, and left), skip (no ticks or no sample that day), error, empty or ok."""
+    spark = sample.sparkSession
+    names = F.array(*[F.struct(F.lit(f.name).alias("feature"), F.lit(errors.get(f.name)).cast("string").alias("error")) for f in own])
+    asked = sample.select("date").distinct().select("date", F.inline(names))
+    out = asked.join(status(spark.read.parquet(a.out)).select("feature", "date", "status"), ["feature", "date"], "left")
+    old = F.lit(False)
+    if before is not None and not a.overwrite:
+        out = out.join(before.withColumn("old", F.lit(True)), ["feature", "date"], "left")
+        old = F.coalesce("old", F.lit(False))
+    known = F.col("date").isin([dt.date.fromisoformat(d) for d in days])
+    state = F.when(old, "exists").when(~known, "skip").when(F.col("error").isNotNull(), F.col("error")).otherwise(F.coalesce("status", F.lit("skip")))
+    return out.select("feature", "date", state.alias("status"))
+
+
+def main(args: list[str] | None = None) -> DataFrame | None:
     p = argparse.ArgumentParser(description=__doc__)
     for name in ("sample", "out"):
         p.add_argument(f"--{name}", required=True)
     for name in ("bars", "quotes", "trades", "start", "end", "only", "exclude"):
         p.add_argument(f"--{name}", default="")
     p.add_argument("--layout", default="auto", choices=["auto", "onefile", "dir"])
+    p.add_argument("--date-source", default="intersect", choices=["sample", "ticks", "intersect"])
     p.add_argument("--tz", default=files.EXCHANGE_TZ)
     p.add_argument("--overwrite", action="store_true")
     p.add_argument("--single", action="store_true")
     a = p.parse_args(args)
     spark = SparkSession.builder.appName("features").getOrCreate()
-    sample = files.read_sample(spark, a.sample, a.start or None, a.end or None)
-    ticks = {k: files.read_ticks(spark, getattr(a, k), k, a.layout, a.tz) for k in ("bars", "quotes", "trades") if getattr(a, k)}
-    dealt = {k: df.persist() for k, df in deal(ticks, sample).items()}
-    for table in jobs([f for f in chosen(a.only, a.exclude) if f.source in ticks], dealt, sample):
-        (sinks.write_single(table, a.out) if a.single else sinks.write_partitions(table, a.out, a.overwrite))
-    if not a.single:
-        status(spark.read.parquet(a.out)).groupBy("status").count().show()
+    own = [f for f in chosen(a.only, a.exclude) if getattr(a, f.source)]
+    sources = sorted({f.source for f in own})
+    start, end = a.start or None, a.end or None
+    whole = files.read_sample(spark, a.sample, start, end)
+    found = [set(files.tick_days(spark, getattr(a, k), files.layout_for(spark, getattr(a, k), k, a.layout), start, end)) for k in sources]
+    days = sorted(set.intersection(*found)) if found else []
+    if not days:
+        raise FileNotFoundError("no day has ticks")
+    sample = whole if a.date_source == "sample" else files.on_days(whole, days)
+    ticks = {k: files.read_ticks(spark, getattr(a, k), k, a.layout, a.tz, days[0], days[-1]) for k in sources}
+    dealt = {k: df.persist() for k, df in deal(ticks, files.on_days(whole, days)).items()}
+    before = None if a.single else sinks.done(spark, a.out)
+    if before is not None:  # partitions by name, which the driver lists anyway; what follows writes among them
+        before = spark.createDataFrame(before.toArrow())
+    errors = run_all(own, dealt, files.on_days(whole, days), a)
+    if a.single:
+        return None
+    out = report(own, days, sample, before, errors, a)
+    out.groupBy("status").count().show(truncate=False)
+    return out
 
 
 if __name__ == "__main__":

@@ -28,10 +28,11 @@ def write_partitions(table: DataFrame, root: str, overwrite: bool = False) -> No
     old = None if overwrite else done(table.sparkSession, root)
     if old is not None:
         table = table.join(F.broadcast(old) if old.count() < 100_000 else old, ["feature", "date"], "left_anti")
+    table = table.repartition("feature", "date")  # one file a partition
     table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy("feature", "date").parquet(root)
 
 
 def write_single(table: DataFrame, root: str) -> None:
-    """One folder of files in order of time, with the columns time, symbol and value, per feature."""
+    """One folder of files in order of time, with the columns time, symbol and value, per feature; other features' folders stay."""
     rows = check(table).select("feature", F.col("date").cast("timestamp_ntz").alias("time"), "symbol", F.col("value").cast("double"))
-    rows.repartitionByRange("feature", "time").sortWithinPartitions("feature", "time", "symbol").write.mode("overwrite").partitionBy("feature").parquet(root)
+    rows.repartitionByRange("feature", "time").sortWithinPartitions("feature", "time", "symbol").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("feature").parquet(root)

@@ -138,3 +138,30 @@ def test_names_that_mislead(spark):
     pdf = day(WALK)
     assert value(spark, "absret_peak_time_min", pdf) == value(spark, "absret_peak_time_frac", pdf) <= 1
     assert value(spark, "close_to_open_ret", pdf) == pytest.approx((WALK[0] - 0.1) / WALK[-1] - 1)
+
+
+def _apen(a):
+    tol = 0.2 * a.std()
+
+    def phi(m):
+        x = np.array([a[k : k + m] for k in range(len(a) - m + 1)])
+        return np.log((np.abs(x[:, None] - x[None]).max(2) <= tol).mean(1)).mean()
+
+    return phi(2) - phi(3)
+
+
+@pytest.mark.parametrize("n", range(1, 12))
+def test_entropy_needs_more_than_five_returns(spark, n):
+    closes = WALK[: n + 1]
+    got, a = value(spark, "approx_entropy_absret_m2_r02", day(closes)), np.abs(np.diff(np.log(closes)))
+    assert pd.isna(got) if n < 6 else got == pytest.approx(_apen(a), abs=1e-9)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_conditional_variance_drops_rows_without_a_log(spark, seed):
+    closes = np.array(WALK[seed * 20 : seed * 20 + 15])
+    closes[[3, 4, 9][: seed]] = [0.0, -2.0, -1.0][: seed]
+    with np.errstate(all="ignore"):
+        lr, s = np.diff(np.log(closes)), closes[1:] / closes[:-1] - 1
+    for name, side in (("rv_cond_up", s > 0), ("rv_cond_down", s < 0)):
+        assert value(spark, name, day(closes)) == pytest.approx(np.sum(lr[side & np.isfinite(lr)] ** 2), rel=1e-9)

@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 
 from barloom.operators.catalog import features
+from barloom.plans import run
 from barloom.plans.engine import deal, feature_table, status
 from barloom.plans.feature import one
 from barloom.plans.run import chosen
@@ -37,7 +38,8 @@ def test_bars_and_sample(spark, daily):
     assert files.read_sample(spark, str(daily / "sample"), start="2024-03-05").count() == 0
     value = one(features()["twap"], files.read_ticks(spark, str(daily / "bars"), "bars"), sample).toPandas().set_index("symbol").value
     assert value["A"] == 2 and pd.isna(value["B"])
-    assert files.calendar(sample).collect()[0].date == dt.date(2024, 3, 4)
+    assert files.on_days(sample, ["2024-03-04"]).count() == 2 and files.on_days(sample, []).count() == 0
+    assert list(files.tick_days(spark, str(daily / "bars"), "onefile")) == ["2024-03-04"]
 
 
 def test_trades_in_a_folder_a_symbol(spark, daily):
@@ -58,6 +60,48 @@ def test_partitions_are_skipped_or_replaced(spark, tmp_path):
         sinks.check(rows(1.0).drop("value"))
 
 
+def test_runs_over_days(spark, tmp_path):
+    """Two jobs, three days of ticks and two of samples, one asked for at a time; a feature that fails; what is there stays."""
+    for day, stamp in (("20240304", "2024_3_4"), ("20240305", "2024_3_5"), ("20240306", "")):
+        (tmp_path / "bars").mkdir(exist_ok=True)
+        (tmp_path / "sample").mkdir(exist_ok=True)
+        times = pd.date_range(f"{day} 09:30", periods=30, freq="min").astype("datetime64[us]")
+        pd.DataFrame({"symbol": "A", "time": times, "close": [10 + k % 7 for k in range(30)], "volume": 1.0, "n": 1.0}).to_parquet(tmp_path / f"bars/{day}.parquet")
+        if stamp:
+            pd.DataFrame({"symbol": ["A", "B"]}).to_parquet(tmp_path / f"sample/{stamp}.parquet")
+    pd.DataFrame({"symbol": ["A"]}).to_parquet(tmp_path / "sample/2024_3_9.parquet")
+    at = {k: str(tmp_path / k) for k in ("bars", "sample", "out", "single")}
+    only = "twap,rv_logret,garman_klass_session_vol"  # the bars have no high
+    base = ["--sample", at["sample"], "--bars", at["bars"], "--only", only]
+    states = lambda df: {(r.feature, str(r.date)): r.status.partition(":")[0] for r in df.collect()}
+    first = states(run.main([*base, "--out", at["out"], "--start", "2024-03-05", "--end", "2024-03-05"]))
+    assert first == {("twap", "2024-03-05"): "ok", ("rv_logret", "2024-03-05"): "ok", ("garman_klass_session_vol", "2024-03-05"): "error"}
+    opened = files.read_ticks(spark, at["bars"], "bars", start="2024-03-05", end="2024-03-05").inputFiles()
+    assert [f[-16:] for f in opened] == ["20240305.parquet"]
+    both = states(run.main([*base, "--out", at["out"], "--date-source", "sample"]))
+    assert both["twap", "2024-03-04"] == "ok" and both["twap", "2024-03-05"] == "exists" and both["twap", "2024-03-09"] == "skip"
+    for name in ("twap", "rv_logret"):  # two jobs into one root
+        run.main(["--sample", at["sample"], "--bars", at["bars"], "--only", name, "--single", "--out", at["single"]])
+    assert {r.feature for r in spark.read.parquet(at["single"]).collect()} == {"twap", "rv_logret"}
+    assert files.read_ticks(spark, at["bars"], "bars", symbol="A").count() == 90 and files.read_ticks(spark, at["bars"], "bars", symbol="B").count() == 0
+    with pytest.raises(FileNotFoundError):
+        run.main([*base, "--out", at["out"], "--start", "2025-01-01"])
+
+
+def test_times_of_any_kind(spark):
+    """Epochs as numbers and strings, local times, and those that the clock skips or shows twice."""
+    ns = int(pd.Timestamp("2024-03-04 10:00", tz="America/New_York").value)
+    want = int(pd.Timestamp("2024-03-04 10:00").value)
+    df = spark.createDataFrame([(ns, str(ns), float(ns // 1024 * 1024), "2024-03-04T10:00:00-05:00")], "a bigint, b string, c double, d string")
+    df = df.withColumn("e", df.a.cast("decimal(30,0)"))
+    got = df.select(*[files.local_nanos(df, k).alias(k) for k in df.columns]).first()
+    assert got.a == got.b == got.d == got.e == want and abs(got.c - want) < 2048
+    text = ["2024-03-10 02:30:00", "2024-11-03 01:30:00", "2024-11-03 03:30:00"]
+    df = spark.createDataFrame([(t,) for t in text], "t string").selectExpr("CAST(t AS TIMESTAMP_NTZ) AS t")
+    got = [r.x for r in df.select(files.local_nanos(df, "t").alias("x")).collect()]
+    assert got == [int(pd.Timestamp("2024-03-10 03:00").value), None, int(pd.Timestamp(text[2]).value)]
+
+
 def test_engine_agrees_with_single_features(spark):
     names = ["twap", "std_close", "rv_logret", "max_up_run_len", "quote_spread_all"]
     own = chosen(",".join(names))
