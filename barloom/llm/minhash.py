@@ -6,8 +6,10 @@ of the sets' similarity. Bands of ROWS bins are buckets. A bucket gives star-sha
 document against each other member. Where these links leave a bucket's members in several components, all members
 of different components are compared by sketches of all bins, also those that the centre links: in one group up to
 GROUP members, in tiles of blocks of half as many beyond, where the largest component is not compared with itself.
-Large buckets that share members are one where that is less work. There is one such round, whatever the texts.
-So a task stays bounded, no bucket is capped, and only pairs that are connected already are left out.
+Large buckets that share members are one where that is less work. Members with a near sketch in another component
+then meet in their tile with their full sets; a tile gives at most one link for each component that it joins to
+another, so what leaves it grows with its members and not with their pairs. There is one such round, whatever the texts.
+No bucket is capped, and only pairs that are connected already are left out.
 """
 
 from __future__ import annotations
@@ -24,9 +26,9 @@ WIDTH, BINS, ROWS = 5, 384, 6
 PERCENT = 75
 #: Members of a bucket that one task compares among themselves.
 GROUP = 400
-#: Shares of equal bins from which a pair is a candidate, and from which one link stands for a whole cluster.
-#: With 384 bins a similarity of 0.75 falls under the first with odds of one in a hundred thousand.
-NEAR, STRONG = 0.65, 0.86
+#: Share of equal bins from which a pair is a candidate. With 384 bins a similarity of 0.75 falls under it with odds
+#: of one in a hundred thousand.
+NEAR = 0.65
 _PRIORITY = np.random.default_rng(97).random((BINS, BINS), dtype=np.float32)
 
 
@@ -93,64 +95,79 @@ def _sketch(batches):
         )
 
 
-def candidates(docs: np.ndarray, sketches: np.ndarray, roots: np.ndarray, sides: np.ndarray) -> list[tuple[int, int, bool]]:
-    """All pairs of one group's documents that may be linked, with whether to try them first: in a cluster its star,
-    between two clusters each document's best partner.
-
-    Documents of one root are connected already and give no pair; in a tile of two sides only pairs across count.
-    """
-    order = np.argsort(docs, kind="stable")
-    docs, sketches, roots, sides = docs[order], sketches[order], roots[order], sides[order]
-    n = len(docs)
+def near_pairs(sketches: np.ndarray, roots: np.ndarray, sides: np.ndarray) -> list[np.ndarray]:
+    """For each of a group's documents the later ones of other roots, and in a tile of the other side, with a near sketch."""
     tile = len(np.unique(sides)) > 1
-    same = np.zeros((n, n), np.float32)
-    for i in range(n - 1):
+    out = []
+    for i in range(len(roots)):
         js = i + 1 + np.flatnonzero((roots[i + 1 :] != roots[i]) & ((sides[i + 1 :] != sides[i]) | (not tile)))
-        same[i, js] = np.count_nonzero(sketches[i] == sketches[js], axis=1) / BINS
-    same = np.maximum(same, same.T)
-    head, first = np.full(n, -1), np.zeros((n, n), bool)
-    for i in range(n):
-        if head[i] < 0:
-            own = np.flatnonzero((head < 0) & (same[i] >= STRONG))
-            head[own], head[i] = i, i
-            first[i, own] = True
-    near = same >= NEAR
-    for i in np.flatnonzero(near.any(1)).tolist():
-        js = np.flatnonzero(near[i] & (head != head[i]))
-        js = js[np.lexsort((js, -same[i, js], head[js]))]
-        first[i, js[np.flatnonzero(np.diff(head[js], prepend=-1))]] = True
-    first |= first.T
-    x, y = np.nonzero(np.triu(near, 1) & (docs[:, None] != docs[None, :]))
-    return list(zip(docs[x].tolist(), docs[y].tolist(), first[x, y].tolist(), strict=True))
-
-
-def _grouped(batches):
-    """Candidates of each group; a group's rows follow each other. Holds one batch and one group."""
-    kept: list[tuple[np.ndarray, ...]] = []
-
-    def pairs(key, doc, root, side, sketch):
-        edge = np.append(np.flatnonzero(np.diff(key)) + 1, len(key))
-        lo, found = 0, []
-        for hi in edge.tolist():
-            found += candidates(doc[lo:hi], sketch[lo:hi], root[lo:hi], side[lo:hi])
-            lo = hi
-            if found and (len(found) > 1 << 16 or hi == len(key)):
-                a, b, first = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(first, pa.bool_())], names=["a", "b", "first"])
-                found = []
+        out.append(js[np.count_nonzero(sketches[i] == sketches[js], axis=1) >= NEAR * BINS] if len(js) else js)
+    return out
+
+
+def links(sets: list[np.ndarray], roots: np.ndarray, pairs: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs of roots that links on full sets connect, fewer than there are roots. Connected roots are not compared again."""
+    size = np.array([len(s) for s in sets])
+    first = np.concatenate([[0], np.cumsum(size)])
+    value, number = np.unique(np.concatenate(sets), return_inverse=True)
+    mine, label = np.zeros(len(value), bool), np.unique(roots, return_inverse=True)[1]
+    out = []
+    for i, js in enumerate(pairs):
+        js = js[label[js] != label[i]]
+        if not len(js):
+            continue
+        mine[number[first[i] : first[i + 1]]] = True
+        there = np.concatenate([number[first[j] : first[j + 1]] for j in js.tolist()])
+        shared = np.add.reduceat(mine[there], np.cumsum(size[js]) - size[js], dtype=np.int64)
+        mine[number[first[i] : first[i + 1]]] = False
+        for j in js[100 * shared >= PERCENT * (size[i] + size[js] - shared)].tolist():
+            if label[j] != label[i]:
+                out.append((int(roots[i]), int(roots[j])))
+                label[label == label[j]] = label[i]
+    return out
 
+
+def _groups(batches):
+    """Record batches of one tile each, whose rows follow each other. Holds one batch and one group."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        sketch = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(-1, BINS)
-        kept.append((*(np.asarray(batch.column(k)) for k in range(4)), sketch))
-        whole = [np.concatenate(x) for x in zip(*kept, strict=True)]
-        last = int(np.searchsorted(whole[0], whole[0][-1], "left"))
-        kept = [tuple(x[last:] for x in whole)]
-        if last:
-            yield from pairs(*(x[:last] for x in whole))
-    if kept:
-        yield from pairs(*(np.concatenate(x) for x in zip(*kept, strict=True)))
+        key = np.asarray(batch.column(0))
+        edges = (np.flatnonzero(np.diff(key)) + 1).tolist()
+        for lo, hi in zip([0, *edges], [*edges, len(key)], strict=True):
+            if held and held[0].column(0)[0].as_py() != key[lo]:
+                yield pa.concat_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _compared(group: pa.RecordBatch) -> tuple[np.ndarray, list[np.ndarray]]:
+    sketches = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS)
+    roots = np.asarray(group.column("root"))
+    return roots, near_pairs(sketches, roots, np.asarray(group.column("side")))
+
+
+def _members(batches):
+    """The rows of tiles that have a near partner in the tile."""
+    for group in _groups(batches):
+        _, pairs = _compared(group)
+        near = np.array([len(p) > 0 for p in pairs])
+        for js in pairs:
+            near[js] = True
+        if near.any():
+            yield group.filter(pa.array(near))
+
+
+def _linked(batches):
+    """Links between roots that a tile's documents make."""
+    for group in _groups(batches):
+        roots, pairs = _compared(group)
+        sets = [s for part in slices([group]) for s in shingle_sets(*buffer_of(part.column("text")))]
+        if found := links(sets, roots, pairs):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
 
 
 def _sizes(label: DataFrame) -> DataFrame:
@@ -225,7 +242,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     docs needs doc_id and text; other columns are ignored. Null and empty texts have an empty set, are linked
     with nothing and kept. Rows that repeat a doc_id are reported each. Documents with equal sets are one class,
-    whose least doc_id stands for it in the candidate search; links are confirmed on full sets.
+    whose least doc_id stands for it in the candidate search; links are confirmed on full sets. A task holds the
+    full sets of one tile's members, up to GROUP documents.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = materialize(docs.mapInArrow(_sketch, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, sketch binary"), "sketch")
@@ -234,31 +252,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = sketch.where("n_shingles > 0").join(classes, (sketch.doc_id == classes.rep) & (sketch.k1 == classes.k1), "left_semi").dropDuplicates(["doc_id"])
     sketches = first.select(F.col("doc_id").alias("doc"), "sketch")
     member = first.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("bucket"))
-    known = None
-
-    def check(pairs: DataFrame) -> None:
-        nonlocal known
-        fresh = pairs if known is None else pairs.join(known, ["a", "b"], "left_anti")
-        checked = materialize(_confirmed(fresh, docs).distinct(), "checked")
-        known = checked if known is None else known.unionByName(checked)
-
     centre = member.groupBy("bucket").agg(F.min("doc").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
     star = materialize(member.join(centre, "bucket").where("doc > a").select("bucket", "a", F.col("doc").alias("b")), "buckets")
-    check(star.select("a", "b").distinct())
-    roots = components(known.where("ok").select("a", "b"))
+    stars = materialize(_confirmed(star.select("a", "b").distinct(), docs).where("ok"), "checked")
+    roots = components(stars.select("a", "b"))
     label = star.select("bucket", F.col("b").alias("doc")).join(roots, F.col("doc") == F.col("node"), "left")
     label = materialize(label.select("bucket", "doc", F.coalesce("root", "doc").alias("root")), "labels")
+    rows = "tile long, doc long, root long, side int, sketch binary"
     tiles = _tiles(_families(label)).join(sketches, "doc").select("tile", "doc", "root", "side", "sketch")
-    near = tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_grouped, "a long, b long, first boolean")
-    near = materialize(near.groupBy("a", "b").agg(F.max("first").alias("first")), "near")
-    check(near.where("first").select("a", "b"))
-    # pairs that these links do not connect are all tried
-    roots = components(known.where("ok").select("a", "b"))
-    ends = [roots.select(F.col("node").alias(k), F.col("root").alias(f"root_{k}")) for k in ("a", "b")]
-    rest = near.where("not first").join(ends[0], "a", "left").join(ends[1], "b", "left")
-    check(rest.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"))
-    roots = components(known.where("ok").select("a", "b"))
-    classes = classes.join(roots, classes.rep == roots.node, "left").select(*key, F.coalesce("root", "rep").alias("class_root"))
+    near = materialize(tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_members, rows), "near")
+    texts = docs.select(F.col("doc_id").alias("doc"), "text")
+    near = near.join(texts, "doc").select("tile", "doc", "root", "side", "sketch", "text").repartition("tile").sortWithinPartitions("tile")
+    joined = components(near.mapInArrow(_linked, "a long, b long")).select(F.col("node").alias("part"), F.col("root").alias("whole"))
+    roots = classes.join(roots, classes.rep == roots.node, "left").select(*key, F.coalesce("root", "rep").alias("part"))
+    classes = roots.join(joined, "part", "left").select(*key, F.coalesce("whole", "part").alias("class_root"))
     out = sketch.drop("bands", "sketch").join(classes, key, "left")
     root = F.coalesce("class_root", "doc_id")
     return out.select("doc_id", "n_shingles", root.alias("component_id"), F.coalesce(F.col("doc_id") == root, F.lit(True)).alias("kept"))

@@ -166,12 +166,62 @@ def test_candidates_leave_out_no_near_pair():
         if i % 2:
             sketches[i, :90] += 1  # the second cluster
         sketches[i, rng.choice(np.arange(90, minhash.BINS), 12, replace=False)] += 7
-    docs, none = np.arange(60) + 5, np.zeros(60, np.int64)
-    found = {(a, b) for a, b, *_ in minhash.candidates(docs, sketches, docs, none)}
+    found = minhash.near_pairs(sketches, np.arange(60), np.zeros(60, np.int64))
     for i in range(60):
         for j in range(i + 1, 60):
-            if (i + j) % 2:
-                assert ((i + 5, j + 5) in found) == ((sketches[i] == sketches[j]).mean() >= minhash.NEAR)
+            assert (j in found[i]) == ((sketches[i] == sketches[j]).mean() >= minhash.NEAR)
+    across = minhash.near_pairs(sketches, np.arange(60) // 2, np.arange(60) % 2)
+    assert all((i + j) % 2 and i // 2 != j // 2 for i in range(60) for j in across[i])
+
+
+def test_links_of_a_tile_span_its_components():
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        pool = rng.integers(0, 1 << 60, 60).astype(np.uint64)
+        sets = [np.unique(rng.choice(pool, rng.integers(20, 60), replace=False)) for _ in range(40)]
+        roots = np.arange(40) // 2
+        pairs = [np.array([j for j in range(i + 1, 40) if roots[i] != roots[j]], np.int64) for i in range(40)]
+        found = minhash.links(sets, roots, pairs)
+        own, want = list(range(20)), list(range(20))
+
+        def merge(at, a, b):
+            x, y = at[a], at[b]
+            return [x if z == y else z for z in at]
+
+        for a, b in found:
+            assert own[a] != own[b]  # no link is said twice
+            own = merge(own, a, b)
+        for i in range(40):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if roots[i] != roots[j] and 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                    want = merge(want, roots[i], roots[j])
+        assert len(set(own)) == len(set(want)) and all((own[a] == own[b]) == (want[a] == want[b]) for a in range(20) for b in range(20))
+
+
+def test_near_duplicates_of_a_hub(spark):
+    """Eighty long edits that only their body links, and a part of the body that only the body links."""
+    body = prose(7, 420, 100_000).replace("\n", " ").split(" ")
+    rows = {k: " ".join([*body, *prose(1000 + k, 80, 100_000).split()]) for k in range(1, 81)}
+    rows[500], rows[600] = " ".join(body), " ".join(body[:350])
+    want = classes(rows)
+    assert len({root for _, root in want.values()}) == 1
+    got = rows_of(minhash.near_duplicates(documents(spark, rows)))
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == want
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_random_texts_near_the_threshold(spark, monkeypatch, seed):
+    monkeypatch.setattr(minhash, "GROUP", [400, 2][seed])
+    rng = random.Random(seed)
+    rows = {}
+    for family in range(8):
+        base = prose(100 * seed + family, 200, 100_000).split()
+        for k in range(30):
+            rows[1000 * rng.randrange(1000) + family * 30 + k] = " ".join(edited(base, rng, rng.randrange(3, 9), f"f{family}e{k}x"))
+    want = classes(rows)
+    got = rows_of(minhash.near_duplicates(documents(spark, rows)))
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == want
 
 
 def test_near_duplicates_on_a_template_take_one_round(spark, monkeypatch):
