@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import materialize, slices
 
 # The kinds and patterns that results must follow.
 KINDS = ("assign", "access", "hex", "guess")
@@ -46,6 +46,8 @@ your my the key pass api app dev prod local server data system super magic summe
 red green black white orange silver gold tiger eagle lion""".split()
 #: Words of the corpus that are ranked behind these, and their sizes.
 DICTIONARY, SHORTEST, LONGEST = 10_000, 3, 20
+#: The rarest word that is ranked is one of so many.
+SHARE = 200_000
 _LEET = str.maketrans("013457@$!", "oleastasi")
 # The rows of a keyboard, and sequences that hands type as easily.
 ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "abcdefghijklmnopqrstuvwxyz")
@@ -72,10 +74,14 @@ _BUILT_IN = ranks(WORDS)
 def dictionary(docs: DataFrame, size: int = DICTIONARY) -> dict[str, float]:
     """WORDS and then the size commonest words of docs(text), ties in alphabetical order, with the bits that guess them.
 
-    All documents are counted; the driver gets size words.
+    All documents are counted. Only words that make up one in SHARE of all words are ranked, so that at most SHARE
+    words are sorted whatever the documents; the driver gets size of them.
     """
     words = docs.select(F.explode(F.split(F.lower(F.col("text").cast("string")), r"[^\p{L}]+")).alias("word"))
     words = words.where(F.length("word").between(SHORTEST, LONGEST)).groupBy("word").agg(F.count("*").alias("n"))
+    words = materialize(words, "dictionary")
+    total = words.agg(F.sum("n")).first()[0] or 0
+    words = words.where(F.col("n") >= total / SHARE)
     return ranks([*WORDS, *(r.word for r in words.orderBy(F.desc("n"), "word").limit(size).collect())])
 
 
