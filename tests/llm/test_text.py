@@ -372,6 +372,25 @@ def test_leaks(spark):
     assert decontam.leaks(spark.createDataFrame([], SCHEMA), bench).count() == 0
 
 
+def test_recall_of_paraphrases(spark):
+    """Against the common subsequence of every item and document: at least nine in ten, and no clean document."""
+    rng = np.random.default_rng(12)
+    pool = np.array([f"term{k}x" for k in range(4000)])
+    odds = 1 / np.arange(1, 4001)
+    said = lambda n: rng.choice(pool, n, p=odds / odds.sum()).tolist()
+    items = {k: said(int(rng.integers(20, 60))) for k in range(40)}
+    rows = {k: said(250) for k in range(80)}
+    for k, words in items.items():
+        changed = [str(rng.choice(pool)) if rng.random() < 0.2 else w for w in words]
+        rows[1000 + k] = said(100) + changed + said(80)
+    want = {(i, k) for i, there in rows.items() for k, own in items.items() if i >= 1000 and i - 1000 == k and decontam.lcs(own, there) >= decontam.CERTAIN * len(own)}
+    bench = spark.createDataFrame([(k, " ".join(v)) for k, v in items.items()], "item_id long, text string")
+    docs = documents(spark, {i: " ".join(v) for i, v in rows.items()})
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(docs.unionByName(docs), bench).collect()}
+    assert len(want) > 30 and len(got & want) >= 0.9 * len(want)
+    assert not {i for i, _ in got if i < 1000}
+
+
 def test_lcs():
     rng = np.random.default_rng(3)
     for _ in range(50):
