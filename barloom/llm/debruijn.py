@@ -3,7 +3,9 @@
 An edge of the graph is a run of WIDTH words, from the node of its first to the node of its last WIDTH - 1. Only
 edges whose least gram occurs more than once take part. Edges that always follow each other, in every place, are one
 nonbranching path: it is found in a document as a chain of edges with a single successor and a single predecessor
-each. Paths meet in Spark joins on their first and last edge and length; the least source coordinate keeps its words.
+each. A run sends each of its paths once, with its least source coordinate and a 128-bit digest of the words there.
+Paths meet in Spark joins on their first and last edge and length, verified by the digest; of equal ones the least
+source coordinate keeps its words.
 """
 
 from __future__ import annotations
@@ -100,7 +102,21 @@ def answer_edges(blobs: list[bytes]) -> list[bytes]:
     return [back[b - n : b].tobytes() for b, n in zip(ends, sizes, strict=True)]
 
 
+def _spaced(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The words data[s:e], each with a space behind, and where each of them ends with its space."""
+    size = e - s + 1
+    stop = np.cumsum(size)
+    total = int(stop[-1]) if len(stop) else 0
+    out = np.full(total, 0x20, np.uint8)
+    index = np.arange(total) + np.repeat(s - stop + size, size)
+    inner = np.ones(total, bool)
+    inner[stop - 1] = False
+    out[inner] = data[index[inner]]
+    return out.tobytes(), stop
+
+
 def _paths(run: Run, words: Words, edges: Edges, bits: np.ndarray) -> pa.RecordBatch:
+    """The run's distinct paths: least coordinate and all places, those at the least coordinate first."""
     own = np.flatnonzero(bits & 1)
     at, h, bits = edges.at[own], edges.hash[own], bits[own]
     doc = words.doc[at]
@@ -108,9 +124,21 @@ def _paths(run: Run, words: Words, edges: Edges, bits: np.ndarray) -> pa.RecordB
     joined[1:] = (at[1:] == at[:-1] + 1) & (doc[1:] == doc[:-1]) & (bits[:-1] & 2 == 0) & (bits[1:] & 4 == 0)
     head = np.flatnonzero(~joined)
     tail = np.append(head[1:], len(at)) - 1 if len(head) else head
-    start = at[head]
-    columns = [signed(h[head]), signed(h[tail]), at[tail] - start + 1, run.ids[doc[head]], start - words.first[doc[head]], np.full(len(head), run.run_id), start]
-    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["head", "tail", "edges", "doc_id", "start", "run_id", "place"])
+    start, last = at[head], at[tail] + WIDTH - 1
+    raw, stop = _spaced(run.data, words.starts, words.ends) if len(head) else (b"", np.zeros(0, np.int64))
+    begin = stop[start] - (words.ends - words.starts)[start] - 1 if len(head) else start
+    digests = b"".join(hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(begin.tolist(), (stop[last] if len(head) else last).tolist(), strict=True))
+    low, high = np.frombuffer(digests, np.int64).reshape(-1, 2).T
+    ids, inside = run.ids[doc[head]], start - words.first[doc[head]]
+    order = np.lexsort((inside, ids, high, low))
+    low, high, ids, inside = low[order], high[order], ids[order], inside[order]
+    edge = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])])) if len(order) else order
+    group = np.repeat(np.arange(len(edge)), np.diff(np.append(edge, len(order))))
+    least = (ids == ids[edge][group]) & (inside == inside[edge][group])
+    pick = order[edge]
+    columns = [signed(h[head][pick]), signed(h[tail][pick]), (tail - head)[pick] + 1, low[edge], high[edge], ids[edge], inside[edge], np.full(len(edge), run.run_id), np.bincount(group[least], minlength=len(edge))]
+    places = pa.ListArray.from_arrays(pa.array(np.append(edge, len(order)), pa.int32()), pa.array(start[order], pa.int64()))
+    return pa.RecordBatch.from_arrays([*(pa.array(c.astype(np.int64)) for c in columns), places], names=["head", "tail", "edges", "low", "high", "doc_id", "start", "run_id", "n_least", "places"])
 
 
 def remove_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
@@ -143,21 +171,23 @@ def remove_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
             words, edges = edges_of(run, {b: x for b, x in answers.items() if b < 1_000_000_000})
             yield _paths(run, words, edges, edges.flags({b - 1_000_000_000: x for b, x in answers.items() if b >= 1_000_000_000}, buckets))
 
-    schema = "head long, tail long, edges long, doc_id long, start long, run_id long, place long"
+    schema = "head long, tail long, edges long, low long, high long, doc_id long, start long, run_id long, n_least long, places array<long>"
     paths = with_answers(runs, both).mapInArrow(compact, schema)
     paths = materialize(paths, "paths")
-    key = ["head", "tail", "edges"]
-    source = paths.groupBy(key).agg(F.min(F.struct("doc_id", "start")).alias("source"), F.count("*").alias("n")).where("n > 1").drop("n")
-    again = paths.join(source, key).where("struct(doc_id, start) > source")
-    spans = again.groupBy("run_id").agg(F.collect_list("place").alias("places"), F.collect_list("edges").alias("sizes"))
+    key = ["head", "tail", "edges", "low", "high"]
+    source = paths.groupBy(key).agg(F.min(F.struct("doc_id", "start")).alias("source"), F.sum(F.size("places")).alias("n")).where("n > 1").drop("n")
+    gone = F.expr("if(struct(doc_id, start) = source, slice(places, cast(n_least as int) + 1, size(places)), places)")
+    again = paths.join(source, key).select("run_id", "edges", gone.alias("places")).where("size(places) > 0")
+    spans = again.groupBy("run_id").agg(F.collect_list(F.struct("edges", "places")).alias("spans"))
 
     def finish(batches):
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                places, sizes = row.pop("places") or [], row.pop("sizes") or []
-                run = Run(**row)
-                yield _kept(run, np.array(places, np.int64), np.array(sizes, np.int64), texts)
+                spans = row.pop("spans") or []
+                places = np.array([p for x in spans for p in x["places"]], np.int64)
+                sizes = np.repeat(np.array([x["edges"] for x in spans], np.int64), [len(x["places"]) for x in spans])
+                yield _kept(Run(**row), places, sizes, texts)
 
     return runs.join(spans, "run_id", "left").mapInArrow(finish, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept binary" * texts)
 
@@ -168,16 +198,8 @@ def _kept(run: Run, places: np.ndarray, sizes: np.ndarray, texts: bool) -> pa.Re
     edge = np.bincount(places, minlength=len(starts) + 1) - np.bincount(places + sizes + WIDTH - 1, minlength=len(starts) + 1)
     gone = np.cumsum(edge)[: len(starts)] > 0
     s, e, d = starts[~gone], ends[~gone], doc[~gone]
-    size = e - s + 1
-    stop = np.cumsum(size)
-    total = int(stop[-1]) if len(stop) else 0
-    out = np.full(total, 0x20, np.uint8)
-    index = np.arange(total) + np.repeat(s - stop + size, size)
-    inner = np.ones(total, bool)
-    inner[stop - 1] = False
-    out[inner] = run.data[index[inner]]
+    raw, stop = _spaced(run.data, s, e)
     border = np.concatenate([[0], stop])[np.searchsorted(d, np.arange(n + 1))]
-    raw = out.tobytes()
     kept = [raw[a : max(a, b - 1)] for a, b in zip(border[:-1].tolist(), border[1:].tolist(), strict=True)]
     count = np.bincount(doc, minlength=n)
     columns = [pa.array(run.ids, mask=run.ids == NO_ID), pa.array(count), pa.array(count - np.bincount(d, minlength=n)), pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())]
