@@ -1,9 +1,11 @@
 """Benchmark passages in documents, found through a latent space and confirmed word by word.
 
-A randomised SVD of the TF-IDF matrix of all document passages gives the space: each task multiplies its passages
-with a random matrix and back, the products are summed by feature block, and the sum's singular vectors are the
-basis. Passages near a benchmark passage by cosine are candidates; the longest common subsequence of words, and
-for looser matches the item's rarest words (its answer-like part), decide.
+A randomised SVD of the TF-IDF matrix of all document passages gives the space. A first pass multiplies the passages
+with a random matrix and back; the products are summed level by level, and an orthonormal basis of the sum spans the
+space. A second pass projects the weighted passages onto that basis; the eigenvectors of the small product of the
+projections are the singular vectors. Passages near a benchmark passage by cosine are candidates; the longest common
+subsequence of words, and for looser matches the item's rarest words (its answer-like part), decide. Of items over
+LONG words a piece of PIECE words is a leak too.
 """
 
 from __future__ import annotations
@@ -24,6 +26,10 @@ COSINE = 0.45
 COMMON, HELD = 0.2, 0.35
 #: Share of an item's words in common order that proves a leak alone, and with RARE of its rarest words.
 CERTAIN, LIKELY, RARE_WORDS, RARE = 0.7, 0.5, 6, 0.6
+#: An item of more than LONG words leaks also if CERTAIN of PIECE of its consecutive words are there.
+LONG, PIECE = 4 * HALF, 3 * HALF
+#: Tasks whose partial sums are added first, before the sums of these meet.
+LEVEL = 32
 #: Items that one pass over the documents is held against.
 ITEMS = 512
 
@@ -101,28 +107,52 @@ def _sums(batches):
             own[1], own[2] = own[1] + np.frombuffer(df, np.int64), own[2] + n
     if found:
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(found), pa.int64()), pa.array([v[0].tobytes() for v in found.values()], pa.binary()), pa.array([v[1].tobytes() for v in found.values()], pa.binary()), pa.array([v[2] for v in found.values()], pa.int64())],
+            [pa.array(list(found), pa.int64()), pa.array([v[0].astype(np.float32).tobytes() for v in found.values()], pa.binary()), pa.array([v[1].tobytes() for v in found.values()], pa.binary()), pa.array([v[2] for v in found.values()], pa.int64())],
             names=["block", "total", "df", "n"],
         )
 
 
+SUMS = "block long, total binary, df binary, n long"
+
+
+def _added(parts: DataFrame) -> list:
+    """One row a block: the sums of LEVEL neighbouring tasks first, then the sums of those."""
+    first = parts.withColumn("level", F.shiftright(F.spark_partition_id(), LEVEL.bit_length() - 1)).repartition("block", "level").drop("level")
+    return first.mapInArrow(_sums, SUMS).repartition(BLOCKS, "block").mapInArrow(_sums, SUMS).collect()
+
+
 def latent_space(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Weights (FEATURES + 1, RANK) that take counts of features to the latent space, zeros behind, and each feature's idf.
 
-    The driver gets one sum of fixed size, whatever the documents: FEATURES x RANK numbers.
+    The driver gets two sums of fixed size, whatever the documents: FEATURES x RANK and RANK x RANK numbers.
     """
-    schema = "block long, total binary, df binary, n long"
-    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_products, schema).repartition(BLOCKS, "block").mapInArrow(_sums, schema).collect()
+    texts = docs.select(F.col("text").cast("string").alias("text"))
     total, df, n = np.zeros((FEATURES, RANK)), np.zeros(FEATURES), 0
     size = FEATURES // BLOCKS
-    for r in rows:
+    for r in _added(texts.mapInArrow(_products, SUMS)):
         at = slice(r.block * size, (r.block + 1) * size)
-        total[at], df[at], n = np.frombuffer(r.total, np.float64).reshape(size, RANK), np.frombuffer(r.df, np.int64), r.n
+        total[at], df[at], n = np.frombuffer(r.total, np.float32).reshape(size, RANK), np.frombuffer(r.df, np.int64), r.n
     idf = np.log((1 + n) / (1 + df)) + 0.1
-    basis, size, _ = np.linalg.svd(total * idf[:, None], full_matrices=False)
-    # the product has squared singular values: their roots even out the directions, or a language's would rule them
-    basis /= np.sqrt(np.maximum(size, max(1e-6 * size[0], 1e-12)))
-    return np.vstack([basis * idf[:, None], np.zeros((1, RANK))]).astype(np.float32), idf
+    basis = np.linalg.qr(total * idf[:, None])[0] * idf[:, None]
+    held = docs.sparkSession.sparkContext.broadcast(np.vstack([basis, np.zeros((1, RANK))]).astype(np.float32))
+
+    def project(batches):
+        gram, n = np.zeros((RANK, RANK)), 0
+        for part in slices(batches):
+            words, first = _words(part.column("text"))
+            starts, _ = _starts(first, 2 * HALF)
+            y = sum_rows(held.value, _feature(words), starts, 2 * HALF).astype(np.float64)
+            gram, n = gram + y.T @ y, n + len(y)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([0]), pa.array([gram.astype(np.float32).tobytes()], pa.binary()), pa.array([b""], pa.binary()), pa.array([n])], names=["block", "total", "df", "n"])
+
+    sums = _added(texts.mapInArrow(project, SUMS))
+    held.unpersist()
+    gram = np.frombuffer(sums[0].total, np.float32).reshape(RANK, RANK).astype(np.float64) if sums else np.eye(RANK)
+    square, turn = np.linalg.eigh((gram + gram.T) / 2)
+    # divided by their singular values the directions are even, or a language's would rule them
+    weights = basis @ turn / np.sqrt(np.maximum(square, max(1e-6 * square[-1], 1e-12)))
+    return np.vstack([weights, np.zeros((1, RANK))]).astype(np.float32), idf
 
 
 def _passages(words: np.ndarray, first: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,6 +187,7 @@ class _Items:
         self.words = [words[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
         self.lists = [w.tolist() for w in self.words]
         self.x, start, self.item = _passages(words, first, weights)
+        self.begin = start - first[self.item]
         common = idf < np.log(1 / COMMON) + 0.1
         self.vocabulary = np.unique(words[~common[_feature(words)]])
         self.member = np.zeros((len(self.vocabulary) + 1, len(ids)), bool)
@@ -176,8 +207,21 @@ class _Items:
         at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
         return np.where(self.vocabulary[at] == words, at, len(self.vocabulary))
 
-    def confirm(self, item: int, region: np.ndarray) -> tuple[int, float] | None:
-        own, there = self.lists[item], region.tolist()
+    def confirm(self, item: int, region: np.ndarray) -> tuple[int, int, int, float] | None:
+        """Ends of the stretch of region with most of the item's words in order, their count and share; None if no leak.
+
+        Stretches are a few times the item's length and overlap, so that a long region gathers no more words by chance.
+        """
+        step = len(self.lists[item]) + 2 * HALF
+        best = None
+        for a in range(0, max(1, len(region) - 2 * step), step):
+            part = region[a : a + 3 * step]
+            if (got := self._shared(item, part)) and (best is None or got[0] > best[2]):
+                best = a, a + len(part), *got
+        return best
+
+    def _shared(self, item: int, part: np.ndarray) -> tuple[int, float] | None:
+        own, there = self.lists[item], part.tolist()
         around = set(there)
         if sum(w in around for w in own) < LIKELY * len(own):
             return None
@@ -191,30 +235,39 @@ class _Items:
                 return shared, share
         return None
 
+    def piece(self, passage: int, around: np.ndarray) -> int:
+        """Words in common order with the PIECE words of a long item from the passage on; 0 if under CERTAIN of them."""
+        own = self.lists[self.item[passage]]
+        at = min(int(self.begin[passage]), len(own) - PIECE)
+        shared = lcs(own[at : at + PIECE], around.tolist())
+        return shared if shared >= CERTAIN * PIECE else 0
+
 
 def leaks(docs: DataFrame, benchmark: DataFrame, space: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """Rows (doc_id, item_id, first_word, last_word, common_words, common_share, cosine), one per document and item.
 
     docs needs doc_id and text, benchmark item_id and text; other columns are ignored. Of several places with one
     item, the one with most common words counts, the first on ties. Null and empty texts and items leak nothing;
-    repeated rows are searched each and give the same row once. Items are taken ITEMS at a time; their words are
-    broadcast, which is bounded by that count, and each block of items is one pass over all documents.
+    repeated rows are searched each and give the same row once. Texts that share an item_id are searched each. Where a
+    piece of a long item is all that leaks, common_words counts the piece's words and common_share is of the whole item.
+    Items are taken ITEMS at a time; their words are broadcast, which is bounded by that count, and each block of
+    items is one pass over all documents.
     """
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
     weights, idf = space or latent_space(rows)
-    items = benchmark.selectExpr("cast(item_id as long) item_id", "cast(text as string) text").where("item_id is not null").dropDuplicates(["item_id"])
+    items = benchmark.selectExpr("cast(item_id as long) item_id", "cast(text as string) text").where("item_id is not null and text <> ''").distinct()
     schema = "doc_id long, item_id long, first_word long, last_word long, common_words long, common_share double, cosine double"
     spark, out, after = docs.sparkSession, None, None
+    shared = spark.sparkContext.broadcast(weights)
     while True:
-        block = (items if after is None else items.where(F.col("item_id") > after)).orderBy("item_id").limit(ITEMS).toArrow()
+        block = (items if after is None else items.where(F.struct("item_id", "text") > F.struct(*map(F.lit, after)))).orderBy("item_id", "text").limit(ITEMS).toArrow()
         if not block.num_rows:
             break
-        after = block.column("item_id")[-1].as_py()
+        after = block.column("item_id")[-1].as_py(), block.column("text")[-1].as_py()
         words, first = _words(block.column("text"))
         full = np.flatnonzero(np.diff(first))
         if len(full):
             held = spark.sparkContext.broadcast(_Items([block.column("item_id")[int(k)].as_py() for k in full], words, np.append(first[full], len(words)), weights, idf))
-            shared = spark.sparkContext.broadcast(weights)
             found = rows.mapInArrow(_search(held, shared), schema)
             out = found if out is None else out.unionByName(found)
         if block.num_rows < ITEMS:
@@ -246,18 +299,26 @@ def _search(held, shared):
                     count[own] = items.member[seen[p[own]], items.item[q[own]][:, None]].sum(1)
                 fits = count >= items.need[q]
                 for p, q in zip(p[fits].tolist(), q[fits].tolist(), strict=True):
-                    spans.setdefault((int(doc[lo + p]), int(items.item[q])), []).append((int(at[lo + p]), float(near[p, q])))
+                    spans.setdefault((int(doc[lo + p]), int(items.item[q])), []).append((int(at[lo + p]), float(near[p, q]), q))
             for (d, item), hits in spans.items():
                 room = len(items.words[item])
                 hits.sort()
-                lo, hi, best = hits[0][0], hits[0][0], hits[0][1]
-                for start, cosine in [*hits[1:], (1 << 62, 0.0)]:
-                    if start > hi + 2 * HALF + room:
-                        a, b = max(int(first[d]), lo - room), min(int(first[d + 1]), hi + 2 * HALF + room)
+                begin = int(first[d])
+                region = [hits[0]]
+                for hit in [*hits[1:], None]:
+                    lo, hi = region[0][0], region[-1][0]
+                    if hit is None or hit[0] > hi + 2 * HALF + room:
+                        a, b = max(begin, lo - room), min(int(first[d + 1]), hi + 2 * HALF + room)
+                        best = max(cosine for _, cosine, _ in region)
                         if got := items.confirm(item, words[a:b]):
-                            rows.append((ids[d], items.ids[item], a - int(first[d]), b - int(first[d]), *got, best))
-                        lo, best = start, cosine
-                    hi, best = start, max(best, cosine)
+                            rows.append((ids[d], items.ids[item], a - begin + got[0], a - begin + got[1], *got[2:], best))
+                        elif room > LONG:
+                            for start, cosine, q in region:
+                                a, b = max(begin, start - 2 * HALF), min(int(first[d + 1]), start + PIECE + 2 * HALF)
+                                if common := items.piece(q, words[a:b]):
+                                    rows.append((ids[d], items.ids[item], a - begin, b - begin, common, common / room, cosine))
+                        region = []
+                    region.append(hit)
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["doc_id", "item_id", "first_word", "last_word", "common_words", "common_share", "cosine"])
 
