@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from .common import buffer_of, slices
 
 WINDOW, FILTERS, WIDTHS = 128, 16, (2, 3, 4)
-#: At most about this many labelled rows of each language train the network, and this many windows of each row.
+#: At most about this many labelled rows of each language train the network, and this many windows of each row:
+#: under one megabyte a language reaches the driver, however long the texts are.
 ROWS_PER_LANG, WINDOWS_PER_ROW = 1200, 6
 EPOCHS, BATCH, RATE = 12, 64, 0.01
 UNKNOWN = "und"
@@ -146,30 +147,30 @@ def train(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG) -> Net | None:
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, int(min(1.0, rows_per_lang / n) * (1 << 30)))])
-    rows = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share[F.col("lang")]).select("doc_id", "lang", "text").toArrow()
-    rows = rows.sort_by([("doc_id", "ascending")])
-    langs = sorted(counts)
-    made, count = [], 0
-    for part in slices(rows.combine_chunks().to_batches()):
-        x, doc, held = windows_of(*buffer_of(part.column("text")))
-        made.append((x, doc + count, held))
-        count += part.num_rows
-    if not made:
-        return None
-    x, doc, held = (np.concatenate(m) for m in zip(*made, strict=True))
-    rng = np.random.default_rng(3)
-    order = rng.permutation(len(doc))
-    order = order[held[order] >= 12]
-    rank = np.empty(len(order), np.int64)  # each text's windows counted in random order
-    by = np.argsort(doc[order], kind="stable")
-    sizes = np.bincount(doc[order], minlength=rows.num_rows)
-    rank[by] = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    order = order[rank < WINDOWS_PER_ROW]
-    if not len(order):
+    drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share[F.col("lang")])
+    rows = drawn.selectExpr("cast(doc_id as long) doc_id", "lang", "cast(text as string) text").mapInArrow(_drawn_windows, "doc_id long, lang string, windows binary").toArrow()
+    rows = rows.sort_by([("doc_id", "ascending"), ("windows", "ascending")])
+    made = rows.column("windows").to_pylist()
+    x = np.frombuffer(b"".join(made), np.uint8).reshape(-1, WINDOW)
+    if not len(x):
         return None
+    langs = sorted(counts)
     code = {lang: k for k, lang in enumerate(langs)}
-    y = np.array([code[k] for k in rows.column("lang").to_pylist()])[doc[order]]
-    return Net(langs).fit(x[order], y)
+    y = np.repeat([code[k] for k in rows.column("lang").to_pylist()], [len(w) // WINDOW for w in made])
+    return Net(langs).fit(x, y)
+
+
+def _drawn_windows(batches):
+    """At most WINDOWS_PER_ROW windows of 12 bytes or more from each whole text, drawn at random by its doc_id."""
+    for part in slices(batches):
+        x, doc, held = windows_of(*buffer_of(part.column("text")))
+        border = np.searchsorted(doc, np.arange(part.num_rows + 1))
+        out = []
+        for k, doc_id in enumerate(part.column("doc_id").to_pylist()):
+            own = np.arange(border[k], border[k + 1])
+            own = np.random.default_rng([3, (doc_id or 0) & (1 << 63) - 1]).permutation(own[held[own] >= 12])
+            out.append(x[np.sort(own[:WINDOWS_PER_ROW])].tobytes())
+        yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), pa.array(out, pa.binary())], names=["doc_id", "lang", "windows"])
 
 
 def identify(docs: DataFrame, net: Net | None) -> DataFrame:
@@ -205,8 +206,9 @@ def identify(docs: DataFrame, net: Net | None) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-#: A text whose best language has a mean probability under this is rejected, as is one without letters.
-LEAST_SCORE = 0.3
+#: A text whose best language has a mean probability under this is rejected, as is one without letters. All of 1 960
+#: held-out texts of the 0.1 tables have 0.47 or more, a thousandth have under 0.62.
+LEAST_SCORE = 0.42
 
 
 def keep_identified(docs: DataFrame, net: Net | None) -> DataFrame:
