@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from barloom.llm import components, debruijn, minhash, suffixes
@@ -109,6 +110,20 @@ def test_debruijn(spark):
     assert {i: (r.n_words, r.n_removed, r.kept_sha256) for i, r in got.items()} == brute_words(rows)
 
 
+def test_debruijn_paths_with_equal_ends(spark):
+    """Paths that agree in all hashes of edges but not in words are told apart, and repeats within a run go."""
+    passage = [f"p{k}" for k in range(60)]
+    rows = {k: " ".join([f"a{k}", *passage, f"b{k}", *passage]) for k in range(5)}
+    assert [r.n_removed for _, r in sorted(rows_of(debruijn.remove_repeats(documents(spark, rows))).items())] == [60, 120, 120, 120, 120]
+    data = b"".join(b" ".join(b"%s%02d" % (c, k) for k in range(22)).ljust(90) for c in (b"x", b"y", b"x"))
+    run = debruijn.Run(1, np.array([7, 7, 3], np.int64).tobytes(), np.array([0, 90, 180, 270], np.int64).tobytes(), pa.compress(data, "zstd", asbytes=True), 270)
+    words = debruijn.Words(run)
+    edges = debruijn.Edges(words, np.ones(len(words.window), bool))
+    edges.hash[:] = 1
+    got = debruijn._paths(run, words, edges, np.ones(len(edges.at), np.uint8)).to_pylist()
+    assert sorted((r["doc_id"], r["start"], r["edges"], r["places"], r["n_least"]) for r in got) == [(3, 0, 3, [44, 0], 1), (7, 0, 3, [22], 1)]
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (9, 8), (8, 7), (3, 1), (5, 5)] + [(k, k + 1) for k in range(20, 60)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}

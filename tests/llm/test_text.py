@@ -391,6 +391,26 @@ def test_recall_of_paraphrases(spark):
     assert not {i for i, _ in got if i < 1000}
 
 
+def test_leaks_of_long_items_and_of_shared_ids(spark):
+    """Sixty words of an item of two hundred leak; so does each text of an item_id; a long text of common words doesn't."""
+    rng = np.random.default_rng(4)
+    said = lambda n: [f"term{k}x" for k in rng.integers(0, 3000, n)]
+    long, one, two = said(200), said(30), said(30)
+    few = [f"term{k}x" for k in range(25)]
+    rows = {k: said(200) for k in range(40)}
+    rows[100] = said(70) + long[75:135] + said(70)
+    rows[101], rows[102] = said(50) + one + said(50), said(50) + two + said(50)
+    rows[103] = [w for _ in range(40) for w in rng.permutation(few)]
+    items = [(1, long), (2, one), (2, two), (3, few)]
+    bench = spark.createDataFrame([(k, " ".join(v)) for k, v in items], "item_id long, text string")
+    docs = documents(spark, {i: " ".join(v) for i, v in rows.items()})
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench).collect()} - {(103, 3)} == {(100, 1), (101, 2), (102, 2)}
+    items = decontam._Items([3], *decontam._words(pa.array([" ".join(few)])), *decontam.latent_space(docs))
+    there, _ = decontam._words(pa.array([" ".join(rows[103] + few)]))
+    first, last, common, _ = items.confirm(0, there)
+    assert common == 25 and last - first <= 3 * (25 + 2 * decontam.HALF) and last == len(there)
+
+
 def test_lcs():
     rng = np.random.default_rng(3)
     for _ in range(50):
