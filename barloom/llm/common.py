@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import numpy as np
@@ -57,8 +58,17 @@ def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[at[0] : at[-1]] if len(at) else whole[:0], at - at[0] if len(at) else np.zeros(1, np.int64)
 
 
+def give_back() -> None:
+    """Hand memory that this worker's earlier tasks have freed back to the system: workers outlive their stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches, text: str = "text", limit: int = SLICE_BYTES):
     """Cut record batches by rows so that a slice has about limit bytes of text; a longer text is a slice of its own."""
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -69,6 +79,7 @@ def slices(batches, text: str = "text", limit: int = SLICE_BYTES):
             hi = max(lo + 1, int(np.searchsorted(at, at[lo] + limit, "right")) - 1)
             yield batch.slice(lo, hi - lo)
             lo = hi
+    give_back()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -28,10 +28,8 @@ SENTENCE_CUT, WORD_CUT = 2, 6
 STRIDE = 32
 #: Tokens that one run of the dynamic program covers.
 BLOCK = 128 * WINDOW
-#: Distinct pieces that a worker remembers before it starts over; and of their parts; that is some 400 MB.
-REMEMBERED = 1_000_000
-#: Bytes of text that are encoded at once, a longer text alone.
-SLICE = 8 << 20
+#: Distinct pieces that a worker remembers before it starts over; and of their parts; that is some 130 MB.
+REMEMBERED = 250_000
 #: Parts that one call of the tokenizer encodes.
 JOINED = 4096
 
@@ -307,7 +305,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW) ->
         path = tokenizer or default_tokenizer()
         words = _known.get(path) or _known.setdefault(path, Words(path))
         stream = _Stream(TaskContext.get().partitionId(), window)
-        for part in slices(batches, limit=SLICE):
+        for part in slices(batches):
             ids, doc_ends, ends = words.encode(part.column("text"))
             stream.add(part.column("doc_id").to_pylist(), ids, doc_ends, ends)
             if len(stream.ids) >= BLOCK and (out := stream.flush(False)):
