@@ -84,3 +84,9 @@ ends AS (SELECT doc_id, a, b FROM spans UNION ALL SELECT doc_id, length(h) // 2
 pieces AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a, b), 0) AS start FROM ends),
 kept AS (SELECT doc_id, string_agg(substr(h, 2 * start + 1, 2 * (a - start)), '' ORDER BY a, b) AS k, sum(b - a) AS n_removed, count(*) - 1 AS n_spans FROM pieces JOIN d USING (doc_id) GROUP BY doc_id)
 SELECT doc_id, length(h) // 2 AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, n_spans, sha256(unhex(k)) AS kept_sha256 FROM d JOIN kept USING (doc_id)"""
+
+TOP_K = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM pairs
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""

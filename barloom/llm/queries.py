@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import debruijn, decontam, langid, linecrf, minhash, oracles, packing, rules, secrets, suffixes, wrapper
+from . import align, annuli, debruijn, decontam, langid, linecrf, minhash, oracles, packing, rules, secrets, suffixes, turns, wrapper
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +60,19 @@ def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def op11_diagonal_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.digest(_documents(spark, sf_dir))
+
+
+def op12_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return annuli.search(annuli.build(vectors), vectors.where("vec_id % 50 = 0"), 5)
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.audit(turns.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -79,6 +92,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_wrapper_extraction,
         op9_guess_cost_secrets,
         op10_minhash_near_dup,
+        op11_diagonal_alignment,
+        op12_pivot_top_k,
+        op13_turn_repair,
         pipeline,
     )
 }
@@ -88,4 +104,5 @@ ORACLES: dict[str, str] = {
     "op4_divergence_rules": oracles.RULES,
     "op7_debruijn_dedup": oracles.DEBRUIJN,
     "op10_minhash_near_dup": oracles.NEAR,
+    "op12_pivot_top_k": oracles.TOP_K,
 }
