@@ -13,11 +13,11 @@ POS = {"c": "c > 0", "v": "v > 0", "n": "n > 0", "vw": "vw > 0"}
 FOUND: dict[str, Feature] = {}
 
 
-def feat(name: str, frame: Frame, value: str, need: str | None = None, source: str = "bars", twin: bool = True) -> None:
-    """Register a feature; need is the condition under which it has a value."""
+def feat(name: str, frame: Frame, value: str, need: str | None = None, source: str = "bars", check: tuple[Frame, str] | None = None) -> None:
+    """Register a feature; need is the condition under which it has a value, check a plainer definition for the other engine."""
     if name in FOUND:
         raise ValueError(f"{name} is there already")
-    FOUND[name] = Feature(name, source, frame, when(need, value) if need else value, twin)
+    FOUND[name] = Feature(name, source, frame, when(need, value) if need else value, check)
 
 
 def bars(cols: str = "", keep: str = "", session: str = RTH) -> Frame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ..plans.frame import Add, Frame, Group, Keep, Pairs, add, clip, corr, div, lag, lead, number, over, pct, rows, running, share, total
+from ..plans import series
+from ..plans.frame import Add, Fold, Frame, Group, Keep, Pairs, Series, add, clip, corr, div, lag, lead, number, over, pct, rows, running, share, total
 from .bars import R, RC, RV, S, SV, bars, feat, logs, r_rows
 
 ENDS = r_rows("")
@@ -67,7 +68,8 @@ for _k in range(2, 6):
     _num = " - ".join([f"q{_k}", *[f"f{_k - 1}{j} * q{_k - j}" for j in range(1, _k)]])
     _STEPS.append(Add(((f"p{_k}", div(_num, f"CASE WHEN e{_k - 1} > 0 THEN e{_k - 1} END")),)))
     _STEPS.append(Add((*((f"f{_k}{j}", f"f{_k - 1}{j} - p{_k} * f{_k - 1}{_k - j}") for j in range(1, _k)), (f"f{_k}{_k}", f"p{_k}"), (f"e{_k}", f"e{_k - 1} * (1 - p{_k} * p{_k})"))))
-feat("pac_ret_lag1_5", (*_LAGS, *_STEPS), _pacf(), "max(nr) >= 7 AND max(ss) > 0")
+# a day without variance has no correlation beyond the bound: 0
+feat("pac_ret_lag1_5", (*_LAGS, *_STEPS), f"CASE WHEN max(ss) > 0 THEN {_pacf()} ELSE 0 END", "max(nr) >= 7")
 _X11 = (*SV, add(g0="CAST(sign(s) AS DOUBLE)"), Add(tuple((f"x{k + 5}", lag("g0", k) if k > 0 else lead("g0", -k) if k < 0 else "g0") for k in range(-5, 6))))
 _CORRS = Group(("date", "symbol"), (*((f"r{k}", f"CASE WHEN count(x{k}) >= 3 THEN {corr(f'x{k}', 'v')} END") for k in range(11)), ("nr", "count(*)")))
 _best = "greatest(" + ", ".join(f"abs(r{k})" for k in range(11)) + ")"
@@ -164,7 +166,9 @@ feat("swing_amplitude_median", SIGNED, "median(abs(amp))")
 _hist = Group(("date", "symbol", "len"), (("m", "count(*)"),))
 _probs = (*SIGNED, _hist, add(p="m / CAST(sum(m) OVER (PARTITION BY date, symbol) AS DOUBLE)"))
 feat("run_length_entropy_signret", _probs, "CASE WHEN count(*) = 1 THEN 0 ELSE -sum(p * log2(p)) / log2(CAST(count(*) AS DOUBLE)) END")
-feat("share_in_runs_len_ge3", ZEROS, div("sum(CASE WHEN flag <> 0 AND len >= 3 THEN len ELSE 0 END)", "CAST(max(nx) AS DOUBLE)"))
+# zeros don't end a run, and count in the day's length; a day of zeros has its own row
+_WITH_ZEROS = runs_of((*_RX, add(has=over("max(abs(sign(r)))"))), "sign(r)", "r <> 0 OR has = 0")
+feat("share_in_runs_len_ge3", _WITH_ZEROS, div("sum(CASE WHEN flag <> 0 AND len >= 3 THEN len ELSE 0 END)", "CAST(max(nx) AS DOUBLE)"))
 _ru, _rd = "avg(CASE WHEN flag > 0 THEN CAST(len AS DOUBLE) END)", "avg(CASE WHEN flag < 0 THEN CAST(len AS DOUBLE) END)"
 feat("run_balance_index", ZEROS, div(f"{_ru} - {_rd}", f"{_ru} + {_rd}"))
 feat("run_len_var_ratio_up_to_down", ZEROS, div("var_samp(CASE WHEN flag > 0 THEN CAST(len AS DOUBLE) END)", "var_samp(CASE WHEN flag < 0 THEN CAST(len AS DOUBLE) END)"), "count_if(flag > 0) >= 2 AND count_if(flag < 0) >= 2")
@@ -186,8 +190,16 @@ _HALF = (*ENDS, add(tot=over("sum(r)")), add(cr=running("sum(r * sign(tot))")))
 feat("time_to_half_openclose_ret_frac", _HALF, div("min(CASE WHEN cr >= 0.5 * abs(tot) THEN k END)", "CAST(max(nr) AS DOUBLE)"), "abs(max(tot)) >= 1e-12")
 _MAJ = (*ENDS, add(sg="CAST(sign(r) AS DOUBLE)"), add(maj=f"sign({rows('sum(sg)', '5 PRECEDING', '1 PRECEDING')})"))
 feat("signret_majority_agreement_share_m5", _MAJ, share("sg = maj", "k >= 6 AND maj <> 0"), "count(*) >= 6")
-_WIN = (*R, Pairs(("k", "a"), ("k", "a"), "k2 BETWEEN k - 20 AND k AND k >= 21"), add(md="median(a2) OVER (PARTITION BY date, symbol, k)"), Group(("date", "symbol", "k"), (("a", "max(a)"), ("mad", "1.4826 * median(abs(a2 - md))"))))
-feat("jump_count_local_k3_win21", _WIN, "count_if(a > 3 * mad AND mad > 0)", "count_if(mad > 0) >= 1")
+# the last 21 as an array: its middle value, and the middle of the distances to it
+_WIN = (
+    *R,
+    add(w=f"sort_array({rows('collect_list(a)', '20 PRECEDING', 'CURRENT ROW')})"),
+    Keep("k >= 21"),
+    add(mad="1.4826 * element_at(sort_array(transform(w, x -> abs(x - element_at(w, 11)))), 11)"),
+)
+_WIN_PAIRS = (*R, Pairs(("k", "a"), ("k", "a"), "k2 BETWEEN k - 20 AND k AND k >= 21"), add(md="median(a2) OVER (PARTITION BY date, symbol, k)"), Group(("date", "symbol", "k"), (("a", "max(a)"), ("mad", "1.4826 * median(abs(a2 - md))"))))
+_jumps = "CASE WHEN count_if(mad > 0) >= 1 THEN count_if(a > 3 * mad AND mad > 0) END"
+feat("jump_count_local_k3_win21", _WIN, _jumps, check=(_WIN_PAIRS, _jumps))
 
 # --- coarser bars
 for _min in (5, 15, 30):
@@ -254,21 +266,26 @@ _sxy = " + ".join(f"CASE WHEN y{m} > 0 THEN ln(y{m}) * ln(CAST({m} AS DOUBLE)) E
 _HURST.append(add(cn=_cnt, sx=_sx, sy=_sy, sxx=_sxx, sxy=_sxy))
 feat("hurst_rs_ret", tuple(_HURST), "max((cn * sxy - sx * sy) / nullif(cn * sxx - sx * sx, 0))", "max(cn) >= 2")
 
-# --- pairs of bars
-feat("qn_vol_logret", (*RC, Pairs(("r", "k"), ("r", "k"), "k < k2")), f"2.2219 * {pct('abs(r - r2)', 0.25)}", "count(*) >= 3")
-feat("theil_sen_slope_close_time", (*bars("c"), Pairs(("c", "mt", "i"), ("c", "mt", "i"), "i < i2 AND mt2 <> mt")), "median((c2 - c) / (mt2 - mt))")
-_GRAM = (*ENDS, add(tol=f"0.2 * {over('stddev_pop(a)')}", y1=lead("a"), y2=lead("a", 2)), Keep("nr >= 4 AND tol > 0"))
+# --- pairs of bars: numbers of the sorted or ordered series, and the pairs themselves to check them
+_PAIRED = Pairs(("r", "k"), ("r", "k"), "k < k2")
+_QN = "CASE WHEN {} THEN 2.2219 * {} END"
+feat("qn_vol_logret", (*RC, Series("k", ("r",), (("q", lambda r: series.distance_quantile(r, 0.25)), ("n", len)))), _QN.format("max(n) >= 3", "max(q)"), check=((*RC, _PAIRED), _QN.format("count(*) >= 3", pct("abs(r - r2)", 0.25))))
+_SLOPES = (*bars("c"), Pairs(("c", "mt", "i"), ("c", "mt", "i"), "i < i2 AND mt2 <> mt"))
+feat("theil_sen_slope_close_time", (*bars("c"), Series("i", ("c", "mt"), (("m", series.median_slope),))), "max(m)", check=(_SLOPES, "median((c2 - c) / (mt2 - mt))"))
+_GRAM = (*ENDS, add(tol=f"0.2 * {over('stddev_pop(a)')}", y1=lead("a"), y2=lead("a", 2)), Keep("nr >= 6 AND tol > 0"))
 _cols = ("k", "nr", "tol", "a", "y1", "y2")
 _two = "greatest(abs(a - a2), abs(y1 - y12)) <= tol AND y1 IS NOT NULL AND y12 IS NOT NULL"
 _three = f"{_two} AND abs(y2 - y22) <= tol"
-_APEN = (*_GRAM, Keep("nr >= 6"), Pairs(_cols, _cols, "true"), Group(("date", "symbol", "k", "nr"), (("n2", f"sum(CASE WHEN {_two} THEN 1e0 ELSE 0e0 END)"), ("n3", f"sum(CASE WHEN {_three} THEN 1e0 ELSE 0e0 END)"))))
-feat("approx_entropy_absret_m2_r02", _APEN, "avg(CASE WHEN n2 > 0 THEN ln(n2 / (nr - 1)) END) - avg(CASE WHEN n3 > 0 THEN ln(n3 / (nr - 2)) END)")
-_SAMP = (*_GRAM, Keep("nr >= 6"), Pairs(_cols, _cols, "k < k2"))
+_APEN = (*_GRAM, Pairs(_cols, _cols, "true"), Group(("date", "symbol", "k", "nr"), (("n2", f"sum(CASE WHEN {_two} THEN 1e0 ELSE 0e0 END)"), ("n3", f"sum(CASE WHEN {_three} THEN 1e0 ELSE 0e0 END)"))))
+_apen = "avg(CASE WHEN n2 > 0 THEN ln(n2 / (nr - 1)) END) - avg(CASE WHEN n3 > 0 THEN ln(n3 / (nr - 2)) END)"
 # the left gram stops one earlier than the right one
 _A, _B = f"sum(CASE WHEN {_three} AND k <= nr - 3 THEN 1e0 ELSE 0e0 END)", f"sum(CASE WHEN {_two} AND k <= nr - 2 THEN 1e0 ELSE 0e0 END)"
-feat("sample_entropy_absret_m2_r02", _SAMP, f"-ln({div(_A, _B)})", f"{_A} > 0 AND {_B} > 0")
+_samp = f"CASE WHEN {_A} > 0 AND {_B} > 0 THEN -ln({div(_A, _B)}) END"
+_ALIKE = (*ENDS, Series("k", ("a",), (("apen", series.approximate_entropy), ("sampen", series.sample_entropy))))
+feat("approx_entropy_absret_m2_r02", _ALIKE, "max(apen)", check=(_APEN, _apen))
+feat("sample_entropy_absret_m2_r02", _ALIKE, "max(sampen)", check=((*_GRAM, Pairs(_cols, _cols, "k < k2")), _samp))
 
-# --- spectra: every frequency meets every bar of the day
+# --- spectra: a fast transform, and to check it every frequency with every bar of the day
 _DETREND = (
     *bars("c"),
     add(nb=over("count(*)")),
@@ -286,8 +303,10 @@ _DFT = (
     add(mf=over("count(*)"), tot=over("sum(pw)")),
     add(p=div("pw", "tot")),
 )
-feat("spectral_entropy_close", _DFT, clip("-sum(CASE WHEN p > 0 THEN p * ln(p) ELSE 0 END) / nullif(ln(CAST(max(mf) AS DOUBLE)), 0)"), "max(mf) >= 2 AND max(tot) > 1e-16 AND count_if(p > 0) >= 2")
-feat("spectral_lowfreq_share_close", _DFT, "sum(CASE WHEN i <= greatest(1, floor(0.1 * mf)) THEN p ELSE 0 END)", "max(tot) > 1e-16")
+_SPECTRUM = (*_DETREND, Series("i", ("e",), (("entropy", series.spectral_entropy), ("low", series.low_share))))
+_entropy = clip("-sum(CASE WHEN p > 0 THEN p * ln(p) ELSE 0 END) / nullif(ln(CAST(max(mf) AS DOUBLE)), 0)")
+feat("spectral_entropy_close", _SPECTRUM, "max(entropy)", check=(_DFT, f"CASE WHEN max(mf) >= 2 AND max(tot) > 1e-16 AND count_if(p > 0) >= 2 THEN {_entropy} END"))
+feat("spectral_lowfreq_share_close", _SPECTRUM, "max(low)", check=(_DFT, "CASE WHEN max(tot) > 1e-16 THEN sum(CASE WHEN i <= greatest(1, floor(0.1 * mf)) THEN p ELSE 0 END) END"))
 
 
 def _haar(frame: Frame, levels: int = 3) -> Frame:
@@ -315,21 +334,34 @@ _EMA = (
     add(dc=f"sign(c - {lag('c')})", de=f"sign(em - {lag('em')})"),
 )
 feat("ema20_trend_align_share", _EMA, share("dc = de", "dc <> 0 AND de <> 0"), "count(*) >= 3")
-_SERIES = "transform(array_sort(collect_list(struct(i, c))), p -> p.c)"
-_DC = f"""aggregate({_SERIES}, named_struct('way', 0, 'ext', CAST(NULL AS DOUBLE), 'ref', CAST(NULL AS DOUBLE), 'n', 0),
-(s, x) -> CASE WHEN s.ref IS NULL THEN named_struct('way', 0, 'ext', x, 'ref', x, 'n', 0)
-WHEN s.way = 0 AND x >= s.ref * 1.001D THEN named_struct('way', 1, 'ext', x, 'ref', s.ref, 'n', s.n + 1)
-WHEN s.way = 0 AND x <= s.ref * 0.999D THEN named_struct('way', -1, 'ext', x, 'ref', s.ref, 'n', s.n + 1)
-WHEN s.way = 0 THEN s
-WHEN s.way * (x - s.ext) > 0 THEN named_struct('way', s.way, 'ext', x, 'ref', s.ref, 'n', s.n)
-WHEN s.way = 1 AND x <= s.ext * 0.999D THEN named_struct('way', -1, 'ext', x, 'ref', s.ref, 'n', s.n + 1)
-WHEN s.way = -1 AND x >= s.ext * 1.001D THEN named_struct('way', 1, 'ext', x, 'ref', s.ref, 'n', s.n + 1)
-ELSE s END, s -> s.n)"""
-feat("dc_count_bps_10", bars("c"), _DC, "count(*) >= 2", twin=False)
-_UPS = "array_join(transform(array_sort(collect_list(struct(k, r))), p -> CASE WHEN p.r > 0 THEN '1' ELSE '0' END), '')"
-# a phrase grows while it is found in what came before it: c phrases are done, the open one starts at i
-_LZ = """aggregate(sequence(1, length(u)), named_struct('i', 1, 'c', 0),
-(s, e) -> CASE WHEN e = length(u) OR instr(substring(u, 1, s.i - 1), substring(u, s.i, e - s.i + 1)) = 0
-THEN named_struct('i', e + 1, 'c', s.c + 1) ELSE s END, s -> s.c) / nullif(length(u) / nullif(log2(CAST(length(u) AS DOUBLE)), 0), 0)"""
-_SIGNS = (*ENDS, Keep("r <> 0"), Group(("date", "symbol"), (("u", _UPS),)), add(lz=f"CASE WHEN length(u) = 1 THEN 1 ELSE {_LZ} END"))
-feat("lz_complexity_signret", _SIGNS, "max(lz)", twin=False)
+# directional changes of 10 basis points: way of the leg, its extreme, the first close and the changes so far
+_open_up, _open_down = "s.way = 0 AND x.c >= s.ref * 1.001e0", "s.way = 0 AND x.c <= s.ref * 0.999e0"
+_turn_up, _turn_down = "s.way = -1 AND x.c >= s.ext * 1.001e0", "s.way = 1 AND x.c <= s.ext * 0.999e0"
+_changes = f"({_open_up}) OR ({_open_down}) OR ({_turn_up}) OR ({_turn_down})"
+_further = "s.way * (x.c - s.ext) > 0"
+_DC = Fold(
+    "i",
+    ("c",),
+    (
+        ("way", "INT", "0", f"CASE WHEN s.ref IS NULL THEN 0 WHEN {_further} THEN s.way WHEN ({_open_up}) OR ({_turn_up}) THEN 1 WHEN ({_open_down}) OR ({_turn_down}) THEN -1 ELSE s.way END"),
+        ("ext", "DOUBLE", "NULL", f"CASE WHEN s.ref IS NULL OR {_further} OR {_changes} THEN x.c ELSE s.ext END"),
+        ("ref", "DOUBLE", "NULL", "coalesce(s.ref, x.c)"),
+        ("n", "INT", "0", f"CASE WHEN s.ref IS NULL OR {_further} THEN s.n WHEN {_changes} THEN s.n + 1 ELSE s.n END"),
+        ("rows", "INT", "0", "s.rows + 1"),
+    ),
+)
+feat("dc_count_bps_10", (*bars("c"), _DC), "CASE WHEN max(rows) >= 2 THEN max(n) END")
+# a phrase grows while it is found in what came before it: c phrases are done, the open one starts at i of the signs u
+_phrase = "instr(substring(s.u, 1, s.i - 1), substring(s.u || x.up, s.i)) = 0"
+_LZ = Fold(
+    "j",
+    ("up",),
+    (
+        ("u", "STRING", "''", "s.u || x.up"),
+        ("i", "INT", "1", f"CASE WHEN {_phrase} THEN length(s.u) + 2 ELSE s.i END"),
+        ("c", "INT", "0", f"CASE WHEN {_phrase} THEN s.c + 1 ELSE s.c END"),
+    ),
+)
+_SIGNS = (*ENDS, Keep("r <> 0"), Add((("j", number()), ("up", "CASE WHEN r > 0 THEN '1' ELSE '0' END"))), _LZ)
+_length = "CAST(length(u) AS DOUBLE)"
+feat("lz_complexity_signret", _SIGNS, f"max(CASE WHEN length(u) = 1 THEN 1 ELSE (c + CASE WHEN i <= length(u) THEN 1 ELSE 0 END) / nullif({_length} / nullif(log2({_length}), 0), 0) END)")

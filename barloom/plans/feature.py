@@ -15,13 +15,16 @@ DIGITS, NUDGE = 7, "1.0000000003e0"
 
 @dataclass(frozen=True)
 class Feature:
-    """value is an aggregate over the frame's rows of a day and symbol. twin: the other engine can express it."""
+    """value is an aggregate over the frame's rows of a day and symbol.
+
+    check: frame and value of a plainer definition, where the other engine isn't to do the same.
+    """
 
     name: str
     source: str
     frame: Frame
     value: str
-    twin: bool = True
+    check: tuple[Frame, str] | None = None
 
 
 def by_frame(features: list[Feature]) -> dict[tuple[str, Frame], list[Feature]]:
@@ -52,7 +55,8 @@ def rounded(df: DataFrame) -> DataFrame:
 
 def twin_sql(feature: Feature, sources: dict[str, str]) -> str:
     """One statement for DuckDB with the rounded result; sources has the statements of the ticks and the sample."""
-    steps, last = sql_frame(feature.frame, feature.source)
-    text = ",\n".join([f"sample AS ({sources['sample']})", f"{feature.source} AS ({sources[feature.source]})", *steps, f"result AS (SELECT date, symbol, CAST({feature.value} AS DOUBLE) AS value FROM {last} GROUP BY date, symbol)"])
+    frame, value = feature.check or (feature.frame, feature.value)
+    steps, last = sql_frame(frame, feature.source)
+    text = ",\n".join([f"sample AS ({sources['sample']})", f"{feature.source} AS ({sources[feature.source]})", *steps, f"result AS (SELECT date, symbol, CAST({value} AS DOUBLE) AS value FROM {last} GROUP BY date, symbol)"])
     text += f"\nSELECT s.date, s.symbol, CASE WHEN abs(r.value) < 1e-12 THEN 0.0 WHEN isfinite(r.value) THEN CAST(printf('%.{DIGITS - 1}e', r.value * {NUDGE}) AS DOUBLE) END AS value FROM sample s LEFT JOIN result r ON s.date = r.date AND s.symbol = r.symbol"
-    return "WITH " + text.replace("percentile(", "quantile_cont(").replace("explode(array(", "unnest(list_value(")
+    return "WITH RECURSIVE " + text.replace("percentile(", "quantile_cont(").replace("explode(array(", "unnest(list_value(")

@@ -6,11 +6,14 @@ engine. Features with equal frames share one plan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .series import over_lists
+
 G = "(PARTITION BY date, symbol)"
 W = "(PARTITION BY date, symbol ORDER BY time, tie)"
 KEYS = ("date", "symbol")
@@ -42,7 +45,7 @@ class Group:
 class Pairs:
     """Pairs of rows of one day and symbol: columns of the left row as they are, those of the right one with a 2 behind, where cond holds.
 
-    A symbol has at most a session's minute bars a day, so the pairs of a group are bounded by that count's square.
+    Only the plainer definitions that check other frames use it: the pairs of a group are the square of its rows.
     """
 
     left: tuple[str, ...]
@@ -50,7 +53,32 @@ class Pairs:
     cond: str
 
 
-Step = Keep | Add | Group | Pairs
+@dataclass(frozen=True)
+class Fold:
+    """An ordered walk over a day's rows, numbered by order from 1, with a state that each row changes.
+
+    state: name, type, first value and next value, an expression over the state s and the row x. The result is one row a day and
+    symbol with the last state. Spark folds the rows' array; the other engine recurs.
+    """
+
+    order: str
+    cols: tuple[str, ...]
+    state: tuple[tuple[str, str, str, str], ...]
+
+
+@dataclass(frozen=True)
+class Series:
+    """One row a day and symbol: the columns as arrays in order, and numbers (name, function) from them.
+
+    A function takes the arrays as numpy vectors and gives a number or None. Arrays hold a session's minute bars.
+    """
+
+    order: str
+    cols: tuple[str, ...]
+    numbers: tuple[tuple[str, Callable], ...]
+
+
+Step = Keep | Add | Group | Pairs | Fold | Series
 Frame = tuple[Step, ...]
 
 
@@ -131,6 +159,16 @@ def run_frame(frame: Frame, df: DataFrame) -> DataFrame:
             df = df.selectExpr("*", *[f"{e} AS {n}" for n, e in step.cols])
         elif isinstance(step, Group):
             df = df.groupBy(*step.keys).agg(*[F.expr(e).alias(n) for n, e in step.aggs])
+        elif isinstance(step, Fold):
+            first = ", ".join(f"'{n}', CAST({init} AS {t})" for n, t, init, _ in step.state)
+            then = ", ".join(f"'{n}', CAST({e} AS {t})" for n, t, _, e in step.state)
+            walk = f"aggregate(array_sort(collect_list(struct({step.order}, {', '.join(step.cols)}))), named_struct({first}), (s, x) -> named_struct({then}))"
+            df = df.groupBy(*KEYS).agg(F.expr(walk).alias("state")).select(*KEYS, "state.*")
+        elif isinstance(step, Series):
+            ordered = f"array_sort(collect_list(struct({step.order}, {', '.join(step.cols)})))"
+            df = df.groupBy(*KEYS).agg(F.expr(ordered).alias("rows"))
+            lists = [F.expr(f"transform(rows, x -> CAST(x.{c} AS DOUBLE))") for c in step.cols]
+            df = df.select(*KEYS, *[over_lists(f)(F.array(*lists)).alias(n) for n, f in step.numbers])
         else:
             a = df.select(*KEYS, *step.left)
             b = df.select(*KEYS, *[F.col(c).alias(f"{c}2") for c in step.right])
@@ -149,6 +187,14 @@ def sql_frame(frame: Frame, source: str) -> tuple[list[str], str]:
             body = "SELECT *, " + ", ".join(f"{e} AS {n}" for n, e in step.cols) + f" FROM {last}"
         elif isinstance(step, Group):
             body = f"SELECT {', '.join(step.keys)}, " + ", ".join(f"{e} AS {n}" for n, e in step.aggs) + f" FROM {last} GROUP BY {', '.join(step.keys)}"
+        elif isinstance(step, Fold):
+            first = ", ".join(f"CAST({init} AS {t}) AS {n}" for n, t, init, _ in step.state)
+            then = ", ".join(f"CAST({e} AS {t})" for _, t, _, e in step.state)
+            walk = f"SELECT date, symbol, CAST(0 AS BIGINT) AS place, {first} FROM (SELECT DISTINCT date, symbol FROM {last}) UNION ALL SELECT s.date, s.symbol, s.place + 1, {then} FROM {name}w s JOIN {last} x ON s.date = x.date AND s.symbol = x.symbol AND x.{step.order} = s.place + 1"
+            out.append(f"{name}w AS ({walk})")
+            body = f"SELECT * FROM {name}w QUALIFY row_number() OVER (PARTITION BY date, symbol ORDER BY place DESC) = 1"
+        elif isinstance(step, Series):
+            raise ValueError("a series has no SQL: the feature needs a plainer frame to be checked by")
         else:
             left = ", ".join(f"a.{c}" for c in (*KEYS, *step.left))
             right = ", ".join(f"b.{c} AS {c}2" for c in step.right)

