@@ -142,12 +142,12 @@ def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 def fit(points: np.ndarray, pivots: int = PIVOTS, rounds: int = ROUNDS) -> np.ndarray:
     """Centres of points, begun from ones spread by distance."""
     chosen = points[:1]
-    while len(chosen) < pivots:
-        far = distances(points, chosen).min(axis=1) if len(points) else np.zeros(0)
-        if not len(far) or far.max() <= 0:
+    while 0 < len(chosen) < pivots:
+        far = distances(points, chosen).min(axis=1)
+        if far.max() <= 0:
             break
         chosen = np.concatenate([chosen, points[[int(far.argmax())]]])
-    for _ in range(rounds):
+    for _ in range(rounds if len(points) else 0):
         own = distances(points, chosen).argmin(axis=1)
         chosen = np.array([points[own == k].mean(axis=0) if (own == k).any() else chosen[k] for k in range(len(chosen))])
     return chosen
