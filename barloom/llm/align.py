@@ -11,6 +11,7 @@ gets back the totals of those.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import os
 from itertools import chain
@@ -23,9 +24,12 @@ from pyspark.sql import functions as F
 
 from .common import buffer_of, materialize, slices
 from .packing import _Ids as Ragged
+from .packing import _Numbering as Numbering
 
 #: Bytes of text in a slice, and distinct pieces that a worker remembers before it starts over.
-SLICE, REMEMBERED = 4 << 20, 200_000
+SLICE, REMEMBERED = 2 << 20, 400_000
+#: New pieces that one call of a tokenizer encodes.
+JOINED = 4096
 #: Length of the first probe along a diagonal, and least and greatest window of an irregular group.
 PROBE, LEAST, GREATEST = 16, 64, 8192
 #: Token B's share of a pair's code: a pair is a * PAIR + b.
@@ -66,32 +70,70 @@ class Both:
         # a piece of text may begin at a blank or line end behind other bytes if no token of B holds one there
         self.apart = not any(" " in p[1:].lstrip(" ") or "\n" in p for p in (x.replace("▁", " ") for x in pieces))
         self.space = self.b.piece_to_id("▁")
+        self.sizes = [np.fromiter(map(len, t), np.int64, len(t)) for t in (self.bytes_a, self.bytes_b)]
         self.reset()
 
     def reset(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.ids, self.fits = (Ragged(), Ragged()), []
-        self._add([[]], [[]], [True])
+        self.known = Numbering()
+        self.known.numbers([b""])
+        self.known.take()
+        self.ids, self.fits = (Ragged(), Ragged()), [True]
+        for table in self.ids:
+            table.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
 
     def _encode_b(self, texts: list[str]) -> list[list[int]]:
         """B's ids of texts that follow others: its leading blank is the text's own, or goes."""
         found = self.b.encode([t[1:] if t.startswith(" ") else t for t in texts], num_threads=1)
         return [ids if t.startswith(" ") else ids[1:] if ids[:1] == [self.space] else [0] for t, ids in zip(texts, found, strict=True)]
 
-    def learn(self, pieces: list[bytes]) -> None:
-        texts = [p.decode("utf-8", "replace") for p in pieces]
-        a, b = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)], self._encode_b(texts)
-        self.known.update(zip(pieces, range(len(self.fits), len(self.fits) + len(pieces)), strict=True))
-        self._add(a, b, [self._gives(x, y, piece) for x, y, piece in zip(a, b, pieces, strict=True)])
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Number new pieces and add their ids; many are encoded as one text, whose tokens end where the pieces do."""
+        # behind a piece that ends in a blank, and before one that doesn't begin with one, others could join
+        plain = [p for p in pieces if p[-1:] > b" " and p[0] in (32, 10)]
+        for lo in range(0, len(plain), JOINED):
+            some = plain[lo : lo + JOINED]
+            self.known.numbers(some)
+            if not self._learn_joined(some):
+                self._learn_each(some)
+        odd = [p for p in pieces if not (p[-1:] > b" " and p[0] in (32, 10))]
+        self.known.numbers(odd)
+        self._learn_each(odd)
+        self.known.take()
+
+    def _learn_each(self, pieces: list[bytes]) -> None:
+        for piece in pieces:
+            text = piece.decode("utf-8", "replace")
+            a, b = self.a.encode(text, add_special_tokens=False).ids, self._encode_b([text])[0]
+            self._add(a, b, self._gives(a, b, piece))
+
+    def _learn_joined(self, pieces: list[bytes]) -> bool:
+        whole = b"".join(pieces)
+        if not self.apart:
+            return False
+        text = whole.decode("utf-8", "replace")
+        both = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self._encode_b([text])[0]
+        if not self._gives(*both, whole):
+            return False
+        ends, rows = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))), []
+        for ids, size in zip(both, self.sizes, strict=True):
+            ids = np.array(ids, np.uint32)
+            after = np.cumsum(size[ids])
+            last = np.searchsorted(after, ends)
+            if (after[last] != ends).any():
+                return False
+            rows.append((ids, np.diff(last, prepend=-1)))
+        for table, row in zip(self.ids, rows, strict=True):
+            table.add(*row)
+        self.fits += [True] * len(pieces)
+        return True
 
     def _gives(self, a: list[int], b: list[int], text: bytes) -> bool:
         return b"".join(map(self.bytes_a.__getitem__, a)) == text == b"".join(map(self.bytes_b.__getitem__, b))
 
-    def _add(self, a: list[list[int]], b: list[list[int]], fits: list[bool]) -> None:
-        for table, rows in zip(self.ids, (a, b), strict=True):
-            size = np.fromiter(map(len, rows), np.int64, len(rows))
-            table.add(np.fromiter(chain.from_iterable(rows), np.uint32, int(size.sum())), size)
-        self.fits += fits
+    def _add(self, a: list[int], b: list[int], fits: bool) -> None:
+        for table, ids in zip(self.ids, (a, b), strict=True):
+            table.add(np.array(ids, np.uint32), np.array([len(ids)]))
+        self.fits.append(fits)
 
     def _whole(self, text: bytes) -> int:
         """The number of one text's ids, taken without cutting it; 0 if either tokenizer's bytes aren't the text's."""
@@ -99,7 +141,9 @@ class Both:
         a, b = self.a.encode(said, add_special_tokens=False).ids, self.b.encode(said[1:], num_threads=1)
         if not self._gives(a, b, text):
             return 0
-        self._add([a], [b], [True])
+        self.known.numbers([(text,)])  # under a key that no piece has
+        self.known.take()
+        self._add(a, b, True)
         return len(self.fits) - 1
 
     def encode(self, texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -119,10 +163,9 @@ class Both:
         doc = np.searchsorted(at, cut, "right") - 1
         column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cut), [None, pa.py_buffer(np.append(cut, len(out)).astype(np.int64)), pa.py_buffer(out)]).dictionary_encode()
         names = column.dictionary.to_pylist()
-        new = [n for n in names if n not in self.known]
-        if new:
-            self.learn(new)
-        number = np.array([self.known[n] for n in names], np.int64)[np.asarray(column.indices)] if len(cut) else np.zeros(0, np.int64)
+        self._learn([n for n in names if n not in self.known])
+        known = self.known.numbers(names)
+        number = known[np.asarray(column.indices)] if len(cut) else known
         fits = np.array(self.fits)[number]
         for d in np.unique(doc[~fits]).tolist():  # a piece doesn't come back as it was: the whole text decides
             lo, hi = np.searchsorted(doc, [d, d + 1])
@@ -145,7 +188,10 @@ class Both:
         solid[1:] &= ~((data[:-1] == 0xC2) & ((data[1:] == 0x85) | (data[1:] == 0xA0)))
         wide = (data >= 0xE1) & (data <= 0xE3)  # the last byte of blanks of other scripts
         solid[2:] &= ~(wide[:-2] & ((data[1:-1] == 0x9A) | (data[1:-1] == 0x80) | (data[1:-1] == 0x81)))
-        return np.union1d(first, np.flatnonzero(gap[1:] & solid[:-1]) + 1)
+        start = np.zeros(len(data), bool)
+        start[1:] = gap[1:] & solid[:-1]
+        start[first] = True
+        return np.flatnonzero(start)
 
 
 def diagonal(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,6 +236,38 @@ def diagonal(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
+@functools.cache
+def _decimals(most: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of the numbers 0 to most: how many digits, and the digit of each place from the right, as text."""
+    number = np.arange(most + 1)
+    size = sum(((number >= 10**k).astype(np.int64) for k in range(1, len(str(most)))), np.ones(most + 1, np.int64))
+    return size, [(48 + number // 10**k % 10).astype(np.uint8) for k in range(len(str(most)))]
+
+
+def distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs a * PAIR + b, which of them each pair is, and how often each occurs."""
+    ua, ra = np.unique(a, return_inverse=True) if len(a) < 1 << 12 else _renumbered(a)
+    ub, rb = np.unique(b, return_inverse=True) if len(b) < 1 << 12 else _renumbered(b)
+    code = ra.astype(np.int64) * max(len(ub), 1) + rb
+    if len(ua) * len(ub) > 8 * len(a) + (1 << 20):
+        found, link, times = np.unique(code, return_inverse=True, return_counts=True)
+    else:
+        counts = np.bincount(code, minlength=len(ua) * len(ub))
+        found = np.flatnonzero(counts)
+        place = np.zeros(len(counts), np.int64)
+        place[found] = np.arange(len(found))
+        link, times = place[code], counts[found]
+    if not len(found):
+        return found.astype(np.int64), link, times
+    return ua[found // len(ub)].astype(np.int64) * PAIR + ub[found % len(ub)], link, times
+
+
+def _renumbered(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    seen = np.zeros(int(x.max()) + 1, bool)
+    seen[x] = True
+    return np.flatnonzero(seen), (np.cumsum(seen) - 1)[x]
+
+
 def spelled(ids: list[np.ndarray], last: list[np.ndarray], doc_groups: np.ndarray) -> list[bytes]:
     """For each text `a1,a2|b1;a3|b2,b3`: its groups' ids in decimal. last: for A and B, each group's last place."""
     groups = len(last[0])
@@ -198,21 +276,20 @@ def spelled(ids: list[np.ndarray], last: list[np.ndarray], doc_groups: np.ndarra
     before = [np.concatenate([[0], np.cumsum(x)])[:-1] for x in each]
     total = each[0] + each[1]
     start = np.concatenate([[0], np.cumsum(total)])
-    joined = np.empty(int(start[-1]), np.int64)
+    joined = np.empty(int(start[-1]), np.int32)
     joined[np.repeat(start[:-1] - before[0], each[0]) + np.arange(len(ids[0]))] = ids[0]
     joined[np.repeat(start[:-1] + each[0] - before[1], each[1]) + np.arange(len(ids[1]))] = ids[1]
     mark = np.full(len(joined), ord(","), np.uint8)
     mark[start[:-1] + each[0] - 1] = ord("|")
     mark[start[1:] - 1] = ord(";")
-    digits = 1 + sum((joined >= 10**k).astype(np.int64) for k in range(1, 8))
-    ends = np.cumsum(digits + 1)
+    digits, places = _decimals(int(joined.max(initial=0)))
+    size = digits[joined]
+    ends = np.cumsum(size + 1)
     out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
     out[ends - 1] = mark
-    rest = joined
-    for k in range(int(digits.max(initial=0))):
-        some = digits > k
-        out[ends[some] - 2 - k] = 48 + rest[some] % 10
-        rest = rest // 10
+    for k, table in enumerate(places):
+        some = np.flatnonzero(size > k)
+        out[ends[some] - 2 - k] = table[joined[some]]
     border = np.concatenate([[0], ends])[start[doc_groups]]
     assert len(doc_groups) and doc_groups[-1] == groups
     blob = out.tobytes()
@@ -237,17 +314,15 @@ def align(docs: DataFrame, paths: tuple[str, str] | None = None) -> DataFrame:
         base = TaskContext.get().partitionId() << 32
         for k, part in enumerate(slices(batches, limit=SLICE)):
             ids, places = both.encode(part.column("text"))
-            tables = [np.fromiter(map(len, t), np.int64, len(t)) for t in (both.bytes_a, both.bytes_b)]
-            ends = [np.cumsum(t[i]) for t, i in zip(tables, ids, strict=True)]
+            ends = [np.cumsum(t[i]) for t, i in zip(both.sizes, ids, strict=True)]
             last = diagonal(*ends)
             groups = np.searchsorted(last[0], places[0])
             said = spelled(ids, list(last), groups)
-            pair = ids[0][last[0]].astype(np.int64) * PAIR + ids[1][last[1]]
-            distinct, link, times = np.unique(pair, return_inverse=True, return_counts=True)
+            pairs, link, times = distinct(ids[0][last[0]], ids[1][last[1]])
             sha = [hashlib.sha256(s).hexdigest() if s else "" for s in said]
             row = {
                 "slice": base + k,
-                "pairs": pa.ListArray.from_arrays([0, len(distinct)], pa.StructArray.from_arrays([pa.array(distinct), pa.array(times.astype(np.int64))], ["pair", "n"])),
+                "pairs": pa.ListArray.from_arrays([0, len(pairs)], pa.StructArray.from_arrays([pa.array(pairs), pa.array(times.astype(np.int64))], ["pair", "n"])),
                 "ends": [groups[1:].astype("<i8").tobytes()],
                 "links": [link.astype("<u4").tobytes()],
                 "sha": [sha],
