@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from functools import cache
@@ -13,7 +14,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from barloom.llm import align, annuli, turns
+from barloom.llm import align, annuli, turns, wrapper
 
 from .fixture import documents, prose
 
@@ -236,3 +237,29 @@ def test_repair_of_no_rows_and_a_giant(spark):
     (one,) = turns.audit(rows).collect()
     text = "\n".join(f"{'user' if k % 2 == 0 else 'assistant'}:{k}." for k in range(60_000))
     assert one.audit == "K" * 60_000 and one.cost == 0 and one.repaired_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+# --- broken pages
+
+HOSTILE = ["<a ", '<a "', "<a '\"", "<div>", "</p>", "</li>", "<div></p>", "<td>", "<!", "<x", "<script>", '<div x="', "<!--", "<dt><ul>"]
+
+
+@pytest.mark.parametrize("bit", HOSTILE)
+def test_a_megabyte_of_broken_markup_is_parsed_in_linear_time(bit):
+    took = []
+    for size in (250_000, 1_000_000):
+        began = time.process_time()
+        wrapper.parse(bit * (size // len(bit)))
+        took.append(time.process_time() - began)
+    assert took[1] < 4 and took[1] < 10 * took[0] + 0.5
+
+
+def test_tags_end_outside_of_quotes():
+    def said(page):
+        return [n.text for n, _ in wrapper.texts_of(wrapper.parse(page))]
+
+    assert said("<p title='a > b'>one</p><p title=\"c>\">two") == ["one", "two"]
+    assert said('<div "><p>kept</p>') == ['<div ">', "kept"]  # the quote never ends, so the first is no tag
+    assert said("<a <p>x</p>") == ["x"]
+    assert said("1 < 2 <!-- <p>no</p> --> 3<!-- open <p>") == ["1 < 2 3"]
+    assert said("<div>" * 300 + "deep" + "</p>" * 300 + "</div>" * 10) == ["deep"]
