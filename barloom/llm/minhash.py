@@ -150,9 +150,18 @@ def _compared(group: pa.RecordBatch) -> tuple[np.ndarray, list[np.ndarray]]:
     return roots, near_pairs(sketches, roots, np.asarray(group.column("side")))
 
 
+def _blocks(batches):
+    """Rows (tile, doc, root, side, sketch) of batches (tile, side, members), in their order."""
+    for batch in batches:
+        size = batch.column("members").value_lengths()
+        each = np.repeat(np.arange(batch.num_rows), np.asarray(size))
+        doc, root, sketch = batch.column("members").flatten().flatten()
+        yield pa.RecordBatch.from_arrays([batch.column("tile").take(each), doc, root, batch.column("side").take(each), sketch], names=["tile", "doc", "root", "side", "sketch"])
+
+
 def _members(batches):
-    """The rows of tiles that have a near partner in the tile."""
-    for group in _groups(batches):
+    """The members of tiles that have a near partner in the tile."""
+    for group in _groups(_blocks(batches)):
         _, pairs = _compared(group)
         near = np.array([len(p) > 0 for p in pairs])
         for js in pairs:
@@ -198,23 +207,27 @@ def _families(label: DataFrame) -> DataFrame:
     return label.join(gone, "bucket", "left_anti").unionByName(whole.join(less, whole.bucket == less.family, "left_semi"))
 
 
-def _tiles(label: DataFrame) -> DataFrame:
-    """(tile, doc, root, side) of label(bucket, doc, root): each two documents of a bucket and of different roots meet in a tile.
+def _tiles(label: DataFrame, sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(tile, side, members) of label(bucket, doc, root): each two documents of a bucket and of different roots meet in a tile.
 
-    A bucket of at most GROUP members is one tile. In a larger one the members outside the bucket's largest root
-    make the first blocks, which meet all blocks; the blocks of the largest root do not meet each other.
+    A bucket of at most GROUP members is one tile and one row: the first table. In a larger one the members outside the bucket's largest root
+    make the first blocks, which meet all blocks; the blocks of the largest root do not meet each other. A block is one row,
+    so there are (members / GROUP * 2) squared rows at most, and as many tiles as pairs of blocks.
     """
-    rows = label.join(_sizes(label), "bucket")
-    small = rows.where(F.col("n") <= GROUP).select(F.col("bucket").alias("tile"), "doc", "root", F.lit(0).alias("side"))
+    rows = label.join(_sizes(label), "bucket").join(sketches, "doc")
+    members = F.collect_list(F.struct("doc", "root", "sketch")).alias("members")
+    small = rows.where(F.col("n") <= GROUP).groupBy(F.col("bucket").alias("tile"), F.lit(0).alias("side")).agg(members)
     half = max(1, GROUP // 2)
     others, mains = F.ceil((F.col("n") - F.col("most")) / half), F.ceil(F.col("most") / half)
-    mixed, stray = F.xxhash64("doc"), F.col("root") != F.col("main")
-    own = F.when(stray, F.pmod(mixed, F.col("others"))).otherwise(F.col("others") + F.pmod(mixed, F.col("mains")))
+    mixed = F.xxhash64("doc")
+    own = F.when(F.col("root") != F.col("main"), F.pmod(mixed, F.col("others"))).otherwise(F.col("others") + F.pmod(mixed, F.col("mains")))
     large = rows.where(F.col("n") > GROUP).withColumns({"others": others, "mains": mains}).withColumn("own", own)
-    end = F.when(stray, F.col("others") + F.col("mains")).otherwise(F.col("others")) - 1
-    large = large.select("bucket", "doc", "root", "own", F.explode(F.sequence(F.lit(0).cast("long"), end)).alias("other"))
+    large = large.groupBy("bucket", "own", "others", "mains").agg(members)
+    end = F.col("others") + F.when(F.col("own") < F.col("others"), F.col("mains")).otherwise(0) - 1
+    large = large.where(end >= 0).select("bucket", "own", "members", F.explode(F.sequence(F.lit(0).cast("long"), end)).alias("other"))
     tile = F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))
-    return small.unionByName(large.select(tile.alias("tile"), "doc", "root", (F.col("own") > F.col("other")).cast("int").alias("side")))
+    large = large.select(tile.alias("tile"), (F.col("own") > F.col("other")).cast("int").alias("side"), "members")
+    return small, large.repartition("tile").sortWithinPartitions("tile")
 
 
 def _confirm(batches):
@@ -259,8 +272,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     label = star.select("bucket", F.col("b").alias("doc")).join(roots, F.col("doc") == F.col("node"), "left")
     label = materialize(label.select("bucket", "doc", F.coalesce("root", "doc").alias("root")), "labels")
     rows = "tile long, doc long, root long, side int, sketch binary"
-    tiles = _tiles(_families(label)).join(sketches, "doc").select("tile", "doc", "root", "side", "sketch")
-    near = materialize(tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_members, rows), "near")
+    small, large = (tiles.select("tile", "side", "members").mapInArrow(_members, rows) for tiles in _tiles(_families(label), sketches))
+    near = materialize(small.unionByName(large), "near")
     texts = docs.select(F.col("doc_id").alias("doc"), "text")
     near = near.join(texts, "doc").select("tile", "doc", "root", "side", "sketch", "text").repartition("tile").sortWithinPartitions("tile")
     joined = components(near.mapInArrow(_linked, "a long, b long")).select(F.col("node").alias("part"), F.col("root").alias("whole"))
