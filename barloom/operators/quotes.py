@@ -6,7 +6,7 @@ of the stretch from the quote before. Thresholds and code sets are parameters; t
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from ..plans.feature import Feature
 from ..plans.frame import Add, Frame, Group, Keep, add, clip, div, lag, over, running, share, total, when
@@ -32,6 +32,17 @@ class QuoteParams:
     opening_indicators: tuple[int, ...] = ()
 
 
+    @classmethod
+    def of(cls, texts: list[str]) -> QuoteParams:
+        """Parameters from texts `name=value`; codes of a set are parted by commas. An unknown name is an error."""
+        known, given = {f.name: f.default for f in fields(cls)}, {}
+        for name, _, value in (t.partition("=") for t in texts):
+            if name not in known:
+                raise KeyError(f"no such parameter: {name}; there are {sorted(known)}")
+            given[name] = tuple(int(c) for c in value.split(",") if c) if isinstance(known[name], tuple) else float(value)
+        return cls(**given)
+
+
 EVENTS = "time >= open_ns AND time < close_ns"
 BOOK, SIZES = "bid IS NOT NULL AND ask IS NOT NULL AND bid + ask > 0", "bsz IS NOT NULL AND asz IS NOT NULL AND bsz + asz > 0"
 MID, REL = "((bid + ask) / 2)", "(2 * (ask - bid) / (bid + ask))"
@@ -67,22 +78,38 @@ def flagged(p: QuoteParams, *kinds: str) -> str:
     return "(" + " OR ".join(parts) + ")"
 
 
-def histogram(frame: Frame, x: str, top: float | str, bins: int, share_of: float | str) -> Frame:
-    """Frame rows with edge: the upper edge of the bin of x in [0, top] in which the given share of rows is reached."""
-    top, share_of = f"{float(top)!r}e0", f"{share_of!r}e0"
+def histogram(frame: Frame, x: str, top: float, bins: int, part: float, sums: tuple[tuple[str, str], ...] = ()) -> Frame:
+    """Counts and sums of x's bins in [0, top], with the bin last in which the given share of rows is reached, and its upper edge.
+
+    Counts of bins add up, so each task sums its rows first, and windows run over bins, not over rows.
+    """
+    top, part = f"{top!r}e0", f"{part!r}e0"
+    reached = f"upto >= ceil({part} * nall)"
+    return (
+        *frame,
+        add(bin=f"least(floor(least(greatest({x}, 0), {top}) / {top} * {bins}), {bins - 1})"),
+        Group(("date", "symbol", "bin"), (("m", "count(*)"), *sums)),
+        add(upto=running("sum(m)", "bin"), nall=over("sum(m)")),
+        add(last=over(f"min(CASE WHEN {reached} THEN bin END)"), edge=over(f"min(CASE WHEN {reached} THEN {top} * (bin + 1) / {bins} END)")),
+    )
+
+
+def ranked(frame: Frame, x: str, top: float, bins: int, part: float) -> Frame:
+    """The plainer way to histogram's edge, on every row: rows are numbered in order of their bins."""
+    top, part = f"{top!r}e0", f"{part!r}e0"
     return (
         *frame,
         add(bin=f"least(floor(least(greatest({x}, 0), {top}) / {top} * {bins}), {bins - 1})"),
         add(rank="row_number() OVER (PARTITION BY date, symbol ORDER BY bin)", nall=over("count(*)")),
-        add(edge=over(f"min(CASE WHEN rank >= ceil({share_of} * nall) THEN {top} * (bin + 1) / {bins} END)")),
+        add(edge=over(f"min(CASE WHEN rank >= ceil({part} * nall) THEN {top} * (bin + 1) / {bins} END)")),
     )
 
 
 def catalog(p: QuoteParams = QuoteParams()) -> dict[str, Feature]:
     found: dict[str, Feature] = {}
 
-    def feat(name: str, frame: Frame, value: str, need: str | None = None) -> None:
-        found[f"quote_{name}_all"] = Feature(f"quote_{name}_all", "quotes", frame, when(need, value) if need else value)
+    def feat(name: str, frame: Frame, value: str, need: str | None = None, check: tuple[Frame, str] | None = None) -> None:
+        found[f"quote_{name}_all"] = Feature(f"quote_{name}_all", "quotes", frame, when(need, value) if need else value, check)
 
     mean = div("sum(dt * val)", "sum(dt)")
     events = lambda cond: (Keep(f"{EVENTS} AND {cond}"),)
@@ -94,9 +121,15 @@ def catalog(p: QuoteParams = QuoteParams()) -> dict[str, Feature]:
     feat("nbbo_ineligible_share", events("true"), share(flagged(p, "ineligible")))
     feat("nonfirm_manual_share", events("true"), share(flagged(p, "nonfirm", "manual")))
     rel = (*events(f"{BOOK} AND {SIZES}"), add(rel=f"greatest({REL}, 0)"))
-    feat("imbalance_spread_coupling", histogram(rel, "rel", 0.5, 512, 0.9), f"avg((bsz - asz) / (bsz + asz) * ({clip('1 - rel / nullif(edge, 0)')}))")
+    # imbalance * (1 - rel / edge) where rel is under the edge, summed by bins
+    imbalance, under = "(bsz - asz) / (bsz + asz)", "rel < 0.5"
+    sums = (("si", total(imbalance, under)), ("sr", total(f"{imbalance} * rel", under)))
+    coupled = div("sum(CASE WHEN bin <= last THEN si - sr / edge ELSE 0 END)", "sum(m)")
+    plain = f"avg({imbalance} * ({clip('1 - rel / nullif(edge, 0)')}))"
+    feat("imbalance_spread_coupling", histogram(rel, "rel", 0.5, 512, 0.9, sums), coupled, check=(ranked(rel, "rel", 0.5, 512, 0.9), plain))
     latency = (*events("sip IS NOT NULL"), add(ms="greatest((sip - time) / 1e6, 0)"))
-    feat("sip_latency_p95_event", histogram(latency, "ms", p.latency_max_ms, 1024, 0.95), "max(edge)")
+    late = ("ms", float(p.latency_max_ms), 1024, 0.95)
+    feat("sip_latency_p95_event", histogram(latency, *late), "max(edge)", check=(ranked(latency, *late), "max(edge)"))
 
     # time-weighted
     feat("tw_spread", held(BOOK, f"greatest({REL}, 0)"), mean)
@@ -124,7 +157,8 @@ def catalog(p: QuoteParams = QuoteParams()) -> dict[str, Feature]:
         Group(("date", "symbol", "run"), (("sec", "sum(dt)"),)),
         Keep("sec > 0"),
     )
-    feat("mid_persistence_median", histogram(runs, "sec", p.persist_max_sec, 512, 0.5), "max(edge)")
+    lasting = ("sec", float(p.persist_max_sec), 512, 0.5)
+    feat("mid_persistence_median", histogram(runs, *lasting), "max(edge)", check=(ranked(runs, *lasting), "max(edge)"))
     book = (*held("bid IS NOT NULL AND ask IS NOT NULL", "1e0"), add(pbid=lag("bid"), pask=lag("ask"), pbsz=lag("bsz"), pasz=lag("asz")))
     sized = (*held("bid IS NOT NULL AND ask IS NOT NULL AND bsz IS NOT NULL AND asz IS NOT NULL", "1e0"), add(pbid=lag("bid"), pask=lag("ask"), pbsz=lag("bsz"), pasz=lag("asz")))
     tol = (p.price_rtol, p.price_atol)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,30 +15,38 @@ from .frame import KEYS
 BATCH, FRAMES = 40, 20
 
 
-def _long(wide: DataFrame, names: list[str]) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).alias("value")) for n in names])
-    return wide.select(*KEYS, F.inline(pairs))
-
-
 def deal(ticks: dict[str, DataFrame], sample: DataFrame) -> dict[str, DataFrame]:
-    """Ticks of the sample's days and symbols, dealt out by them.
+    """Ticks of the sample's days and symbols, dealt out by them and in order of time: persist it, and no frame sorts or deals again.
 
-    Every window, grouping and self-join of the features is by these keys, or by these and more.
+    Every window, grouping and array of the features is by these keys, or by these and more, and nearly all windows run in
+    this order.
     """
     days = sample.select(*KEYS).distinct()
-    return {name: df.join(days, list(KEYS), "left_semi").repartition(*KEYS) for name, df in ticks.items()}
+    # a count of its own is kept, so that what is persisted still fits the features' groupings and joins
+    parts = int(sample.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return {name: df.join(days, list(KEYS), "left_semi").repartition(parts, *KEYS).sortWithinPartitions(*KEYS, "time", "tie") for name, df in ticks.items()}
 
 
 def feature_table(features: list[Feature], dealt: dict[str, DataFrame], sample: DataFrame) -> DataFrame:
     """Rows (date, symbol, feature, value) for each day and symbol of the sample and each feature.
 
-    The features' values join the sample wide, a row a day and symbol, and become long at the end.
+    Each frame gives a row of values a day and symbol; an empty row of the sample stands beside it, and one grouping takes the two
+    together. There is no join, and frames don't wait for each other.
     """
-    wide = sample.select(*KEYS).distinct()
+    days, parts, names = sample.select(*KEYS).distinct(), [], []
     for (source, _), group in by_frame(features).items():
         for lo in range(0, len(group), BATCH):
-            wide = wide.join(values(group[lo : lo + BATCH], dealt[source]), list(KEYS), "left")
-    return _long(wide, [f.name for f in features])
+            some = group[lo : lo + BATCH]
+            found = F.array(*[F.col(f.name) for f in some])
+            parts.append(values(some, dealt[source]).select(*KEYS, F.lit(len(names)).alias("frame"), found.alias("found"), F.lit(False).alias("asked")))
+            names.append(F.array(*[F.lit(f.name) for f in some]))
+    blank = F.lit(None).cast("array<double>").alias("found")
+    asked = days.select(*KEYS, F.explode(F.array(*map(F.lit, range(len(names))))).alias("frame"), blank, F.lit(True).alias("asked"))
+    rows = reduce(DataFrame.unionByName, parts, asked)
+    table = rows.groupBy(*KEYS, "frame").agg(F.first("found", ignorenulls=True).alias("found"), F.max("asked").alias("asked")).where("asked")
+    table = table.select(*KEYS, F.array(*names)[F.col("frame")].alias("feature"), "found")
+    pairs = F.expr("transform(feature, (n, k) -> struct(n AS feature, found[k] AS value))")
+    return table.select(*KEYS, F.inline(pairs))
 
 
 def grouped(features: list[Feature], frames: int = FRAMES) -> list[list[Feature]]:

@@ -1,4 +1,4 @@
-"""Runs features over daily files: python -m barloom.plans.run --sample DIR --bars DIR --out DIR [--only a,b] [--exclude c]."""
+"""Runs features over daily files: python -m barloom.plans.run --sample DIR --bars DIR --out DIR [--only a,b] [--exclude c] [--set jump_tau=0.001]."""
 
 from __future__ import annotations
 
@@ -10,15 +10,15 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.catalog import features
+from ..operators.catalog import QuoteParams, features
 from ..sources import files, sinks
 from .engine import deal, feature_table, grouped, status
 from .feature import Feature
 
 
-def chosen(only: str = "", exclude: str = "") -> list[Feature]:
+def chosen(only: str = "", exclude: str = "", params: QuoteParams | None = None) -> list[Feature]:
     """Features by comma-separated names; a name that isn't known is an error."""
-    known = features()
+    known = features(params)
     names, out = [n for n in only.split(",") if n], {n for n in exclude.split(",") if n}
     if unknown := {*names, *out} - set(known):
         raise KeyError(f"no such feature: {sorted(unknown)}")
@@ -48,8 +48,11 @@ def report(own: list[Feature], days: list[str], sample: DataFrame, before: DataF
     """Rows (feature, date, status): exists (was there, and left), skip (no ticks or no sample that day), error, empty or ok."""
     spark = sample.sparkSession
     names = F.array(*[F.struct(F.lit(f.name).alias("feature"), F.lit(errors.get(f.name)).cast("string").alias("error")) for f in own])
-    asked = sample.select("date").distinct().select("date", F.inline(names))
-    out = asked.join(status(spark.read.parquet(a.out)).select("feature", "date", "status"), ["feature", "date"], "left")
+    dates = sample.select("date").distinct()
+    asked = dates.select("date", F.inline(names))
+    # of what is there, the asked days alone are opened
+    written = spark.read.parquet(a.out).where(F.col("date").isin([r.date for r in dates.toLocalIterator()]))
+    out = asked.join(status(written).select("feature", "date", "status"), ["feature", "date"], "left")
     old = F.lit(False)
     if before is not None and not a.overwrite:
         out = out.join(before.withColumn("old", F.lit(True)), ["feature", "date"], "left")
@@ -67,12 +70,13 @@ def main(args: list[str] | None = None) -> DataFrame | None:
         p.add_argument(f"--{name}", default="")
     p.add_argument("--layout", default="auto", choices=["auto", "onefile", "dir"])
     p.add_argument("--date-source", default="intersect", choices=["sample", "ticks", "intersect"])
+    p.add_argument("--set", action="append", default=[], metavar="NAME=VALUE", help="a threshold or code set of the quote features, as opening_conditions=1,16")
     p.add_argument("--tz", default=files.EXCHANGE_TZ)
     p.add_argument("--overwrite", action="store_true")
     p.add_argument("--single", action="store_true")
     a = p.parse_args(args)
     spark = SparkSession.builder.appName("features").getOrCreate()
-    own = [f for f in chosen(a.only, a.exclude) if getattr(a, f.source)]
+    own = [f for f in chosen(a.only, a.exclude, QuoteParams.of(a.set)) if getattr(a, f.source)]
     sources = sorted({f.source for f in own})
     start, end = a.start or None, a.end or None
     whole = files.read_sample(spark, a.sample, start, end)
