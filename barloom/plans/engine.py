@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .feature import Feature, by_frame, values
 from .frame import KEYS
+from .hot import cut
 
 #: Aggregates of one plan node (more make methods that the JVM doesn't compile), and frames of one job.
 BATCH, FRAMES = 40, 20
@@ -19,12 +20,17 @@ def deal(ticks: dict[str, DataFrame], sample: DataFrame) -> dict[str, DataFrame]
     """Ticks of the sample's days and symbols, dealt out by them and in order of time: persist it, and no frame sorts or deals again.
 
     Every window, grouping and array of the features is by these keys, or by these and more, and nearly all windows run in
-    this order.
+    this order. Symbol-days of very many quotes are dealt out apart, in chunks of time, as quotes_hot.
     """
     days = sample.select(*KEYS).distinct()
-    # a count of its own is kept, so that what is persisted still fits the features' groupings and joins
+    # a count of its own is kept, so that what is persisted still fits the features' groupings
     parts = int(sample.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return {name: df.join(days, list(KEYS), "left_semi").repartition(parts, *KEYS).sortWithinPartitions(*KEYS, "time", "tie") for name, df in ticks.items()}
+    own, out = {name: df.join(days, list(KEYS), "left_semi") for name, df in ticks.items()}, {}
+    if "quotes" in own:
+        own["quotes"], large = cut(own["quotes"])
+        if large is not None:
+            out["quotes_hot"] = large
+    return out | {name: df.repartition(parts, *KEYS).sortWithinPartitions(*KEYS, "time", "tie") for name, df in own.items()}
 
 
 def feature_table(features: list[Feature], dealt: dict[str, DataFrame], sample: DataFrame) -> DataFrame:
@@ -38,7 +44,7 @@ def feature_table(features: list[Feature], dealt: dict[str, DataFrame], sample:
         for lo in range(0, len(group), BATCH):
             some = group[lo : lo + BATCH]
             found = F.array(*[F.col(f.name) for f in some])
-            parts.append(values(some, dealt[source]).select(*KEYS, F.lit(len(names)).alias("frame"), found.alias("found"), F.lit(False).alias("asked")))
+            parts.append(values(some, dealt[source], dealt.get(f"{source}_hot")).select(*KEYS, F.lit(len(names)).alias("frame"), found.alias("found"), F.lit(False).alias("asked")))
             names.append(F.array(*[F.lit(f.name) for f in some]))
     blank = F.lit(None).cast("array<double>").alias("found")
     asked = days.select(*KEYS, F.explode(F.array(*map(F.lit, range(len(names))))).alias("frame"), blank, F.lit(True).alias("asked"))

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frame import KEYS, Frame, run_frame, sql_frame
+from .frame import KEYS, Frame, Group, run_frame, sql_frame
+from .hot import chunked
 
 #: Digits that results keep where two engines are compared, after a nudge that takes halves off the rounding edge.
 DIGITS, NUDGE = 7, "1.0000000003e0"
@@ -35,9 +36,15 @@ def by_frame(features: list[Feature]) -> dict[tuple[str, Frame], list[Feature]]:
     return found
 
 
-def values(features: list[Feature], ticks: DataFrame) -> DataFrame:
-    """Columns date, symbol and one for each of features, which must share a frame."""
-    rows = run_frame(features[0].frame, ticks)
+def values(features: list[Feature], ticks: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Columns date, symbol and one for each of features, which must share a frame. hot: ticks of days cut into chunks."""
+    frame = features[0].frame
+    if hot is None:
+        rows = run_frame(frame, ticks)
+    else:  # up to where rows are grouped, cut days go their own way
+        at = next((k for k, step in enumerate(frame) if isinstance(step, Group)), len(frame))
+        plain = run_frame(frame[:at], ticks)
+        rows = run_frame(frame[at:], plain.unionByName(run_frame(chunked(frame[:at]), hot).select(plain.columns)))
     return rows.groupBy(*KEYS).agg(*[F.expr(f"CAST({f.value} AS DOUBLE)").alias(f.name) for f in features])
 
 

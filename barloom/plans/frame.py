@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .series import over_lists
@@ -78,7 +78,26 @@ class Series:
     numbers: tuple[tuple[str, Callable], ...]
 
 
-Step = Keep | Add | Group | Pairs | Fold | Series
+@dataclass(frozen=True)
+class Border:
+    """For days cut into chunks: each chunk gets the rows beside it, the last of the chunk before and the first of the one behind, as ghosts.
+
+    The order's first column decides a row's chunk by the day's cuts.
+    """
+
+    order: str
+
+
+@dataclass(frozen=True)
+class Total:
+    """For days cut into chunks: the running sum of x over the day, from sums in the chunk and of the chunks before it."""
+
+    name: str
+    x: str
+    order: str
+
+
+Step = Keep | Add | Group | Pairs | Fold | Series | Border | Total
 Frame = tuple[Step, ...]
 
 
@@ -150,6 +169,27 @@ def pct(x: str, p: float) -> str:
     return f"percentile({x}, {p})"
 
 
+def _bordered(df: DataFrame, order: str) -> DataFrame:
+    columns = [c.strip() for c in order.split(",")]
+    if columns[0] != "time":
+        df = df.withColumn("chunk", F.expr(f"size(filter(cuts, x -> x <= {columns[0]}))"))
+    whole, place = F.struct(*df.columns), F.struct(*columns)
+    ends = df.groupBy(*KEYS, "chunk").agg(F.min_by(whole, place).alias("first"), F.max_by(whole, place).alias("last"))
+    beside = Window.partitionBy(*KEYS).orderBy("chunk")
+    ends = ends.withColumns({"back": F.lag("chunk").over(beside), "on": F.lead("chunk").over(beside)})
+    given = F.array(F.struct("back", F.col("first").alias("row")), F.struct(F.col("on").alias("back"), F.col("last").alias("row")))
+    ghosts = ends.select(F.inline(given)).where("back IS NOT NULL").select("back", "row.*").drop("chunk").withColumnRenamed("back", "chunk")
+    return df.withColumn("ghost", F.lit(False)).unionByName(ghosts.withColumn("ghost", F.lit(True)))
+
+
+def _totalled(df: DataFrame, step: Total) -> DataFrame:
+    sums = df.groupBy(*KEYS, "chunk").agg(F.expr(f"sum({step.x})").alias("own"))
+    before = F.sum("own").over(Window.partitionBy(*KEYS).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sums.select(*KEYS, "chunk", F.coalesce(before, F.lit(0)).alias("before"))
+    local = f"sum({step.x}) OVER (PARTITION BY date, symbol, chunk ORDER BY {step.order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return df.join(offsets, [*KEYS, "chunk"]).withColumn(step.name, F.expr(local) + F.col("before")).drop("before")
+
+
 def run_frame(frame: Frame, df: DataFrame) -> DataFrame:
     """The frame's steps over a DataFrame."""
     for step in frame:
@@ -159,6 +199,10 @@ def run_frame(frame: Frame, df: DataFrame) -> DataFrame:
             df = df.selectExpr("*", *[f"{e} AS {n}" for n, e in step.cols])
         elif isinstance(step, Group):
             df = df.groupBy(*step.keys).agg(*[F.expr(e).alias(n) for n, e in step.aggs])
+        elif isinstance(step, Border):
+            df = _bordered(df, step.order)
+        elif isinstance(step, Total):
+            df = _totalled(df, step)
         elif isinstance(step, Fold):
             first = ", ".join(f"'{n}', CAST({init} AS {t})" for n, t, init, _ in step.state)
             then = ", ".join(f"'{n}', CAST({e} AS {t})" for n, t, _, e in step.state)
@@ -193,8 +237,8 @@ def sql_frame(frame: Frame, source: str) -> tuple[list[str], str]:
             walk = f"SELECT date, symbol, CAST(0 AS BIGINT) AS place, {first} FROM (SELECT DISTINCT date, symbol FROM {last}) UNION ALL SELECT s.date, s.symbol, s.place + 1, {then} FROM {name}w s JOIN {last} x ON s.date = x.date AND s.symbol = x.symbol AND x.{step.order} = s.place + 1"
             out.append(f"{name}w AS ({walk})")
             body = f"SELECT * FROM {name}w QUALIFY row_number() OVER (PARTITION BY date, symbol ORDER BY place DESC) = 1"
-        elif isinstance(step, Series):
-            raise ValueError("a series has no SQL: the feature needs a plainer frame to be checked by")
+        elif not isinstance(step, Pairs):
+            raise ValueError(f"{type(step).__name__} has no SQL: the feature needs a plainer frame to be checked by")
         else:
             left = ", ".join(f"a.{c}" for c in (*KEYS, *step.left))
             right = ", ".join(f"b.{c} AS {c}2" for c in step.right)
