@@ -33,6 +33,20 @@ def deal(ticks: dict[str, DataFrame], sample: DataFrame) -> dict[str, DataFrame]
     return out | {name: df.repartition(parts, *KEYS).sortWithinPartitions(*KEYS, "time", "tie") for name, df in own.items()}
 
 
+def as_stored(ticks: dict[str, DataFrame], sample: DataFrame) -> dict[str, DataFrame]:
+    """As deal(), for ticks of sources.store, whose buckets hold each symbol's rows together: they stay where they are.
+
+    The sample is broadcast where Spark finds it small enough; symbol-days of very many quotes are cut as in deal().
+    """
+    days = sample.select(*KEYS).distinct()
+    own, out = {name: df.join(days, list(KEYS), "left_semi") for name, df in ticks.items()}, {}
+    if "quotes" in own:
+        own["quotes"], large = cut(own["quotes"])
+        if large is not None:
+            out["quotes_hot"] = large
+    return out | own
+
+
 def feature_table(features: list[Feature], dealt: dict[str, DataFrame], sample: DataFrame) -> DataFrame:
     """Rows (date, symbol, feature, value) for each day and symbol of the sample and each feature.
 

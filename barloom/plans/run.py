@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.catalog import QuoteParams, features
-from ..sources import files, sinks
-from .engine import deal, feature_table, grouped, status
+from ..sources import files, sinks, store
+from .engine import as_stored, deal, feature_table, grouped, status
 from .feature import Feature
 
 
@@ -62,6 +62,11 @@ def report(own: list[Feature], days: list[str], sample: DataFrame, before: DataF
     return out.select("feature", "date", state.alias("status"))
 
 
+def table_of(root: str) -> str:
+    """The name of a table of sources.store, given as table:NAME in place of a folder."""
+    return root.removeprefix("table:") if root.startswith("table:") else ""
+
+
 def main(args: list[str] | None = None) -> DataFrame | None:
     p = argparse.ArgumentParser(description=__doc__)
     for name in ("sample", "out"):
@@ -80,13 +85,16 @@ def main(args: list[str] | None = None) -> DataFrame | None:
     sources = sorted({f.source for f in own})
     start, end = a.start or None, a.end or None
     whole = files.read_sample(spark, a.sample, start, end)
-    found = [set(files.tick_days(spark, getattr(a, k), files.layout_for(spark, getattr(a, k), k, a.layout), start, end)) for k in sources]
+    roots = {k: getattr(a, k) for k in sources}
+    tables = {k: table_of(r) for k, r in roots.items() if table_of(r)}
+    found = [set(store.days(spark, tables[k], start, end) if k in tables else files.tick_days(spark, r, files.layout_for(spark, r, k, a.layout), start, end)) for k, r in roots.items()]
     days = sorted(set.intersection(*found)) if found else []
     if not days:
         raise FileNotFoundError("no day has ticks")
     sample = whole if a.date_source == "sample" else files.on_days(whole, days)
-    ticks = {k: files.read_ticks(spark, getattr(a, k), k, a.layout, a.tz, days[0], days[-1]) for k in sources}
-    dealt = {k: df.persist() for k, df in deal(ticks, files.on_days(whole, days)).items()}
+    ticks = {k: files.read_ticks(spark, r, k, a.layout, a.tz, days[0], days[-1]) for k, r in roots.items() if k not in tables}
+    kept = {k: store.read(spark, t, days[0], days[-1]) for k, t in tables.items()}
+    dealt = {k: df.persist() for k, df in deal(ticks, files.on_days(whole, days)).items()} | as_stored(kept, files.on_days(whole, days))
     before = None if a.single else sinks.done(spark, a.out)
     if before is not None:  # partitions by name, which the driver lists anyway; what follows writes among them
         before = spark.createDataFrame(before.toArrow())
