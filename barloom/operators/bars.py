@@ -225,7 +225,7 @@ for _name, _value, _need, _frame in (
     ("zero_ret_share", share("a <= 1e-10"), None, S),
     ("ret_up_down_abs_magnitude_ratio", div(total("r", "r > 0"), total("-r", "r < 0")), f"{total('-r', 'r < 0')} > 0", r_rows("")),
     ("range_up_down_ratio", div(total("h - l", "s > 0"), total("h - l", "s < 0")), f"{total('h - l', 's < 0')} > 0", s_rows("h l c")),
-    ("absret_center_of_mass_time", clip(div("sum(tau * a)", "sum(a)")), "count(*) >= 2 AND sum(a) > 0", R),
+    ("absret_center_of_mass_time", clip(div("sum(tau * a)", "sum(a)")), "count(*) >= 3 AND sum(a) > 0", R),
 ):
     feat(_name, _frame, _value, _need)
 _LR, _LRV, _LRN, _LRVW = logs(), logs("c v"), logs("c n"), logs("c vw")
