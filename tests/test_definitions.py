@@ -282,6 +282,78 @@ plain("volume_compaction_80pct_bars_frac", lambda g: compaction(g.v.values, 0.8)
 plain("time_share_above_vwap", lambda g: (g.c > g.vw).mean(), "cw")
 plain("vwap_cross_count", lambda g: (np.diff(np.sign(g.c - g.vw)[g.c != g.vw]) != 0).sum() if (g.c != g.vw).sum() >= 2 else NAN, "cw")
 
+plain("range_per_trade", lambda g: (g.h.max() - g.l.min()) / g.n.sum() if g.h.max() > g.l.min() and g.n.sum() > 0 else NAN, "hln")
+plain("range_up_down_ratio", lambda g: ratio((g.h - g.l)[g.s > 0].sum(), (g.h - g.l)[g.s < 0].sum()), "hlc", "s")
+plain("ret_es_q05", lambda g: g.r[g.r <= np.percentile(g.r, 5)].mean(), kind="r", least=3)
+plain("ret_var_q05", lambda g: np.percentile(g.r, 5), kind="r", least=3)
+plain("ret_skew", lambda g: len(g) / ((len(g) - 1) * (len(g) - 2)) * ((g.r - g.r.mean()) ** 3).mean() / sd(g.r) ** 3 if np.ptp(g.r) > 0 else NAN, kind="r", keep=positive, least=3)
+plain("ret_up_down_abs_magnitude_ratio", lambda g: ratio(g.r[g.r > 0].sum(), -g.r[g.r < 0].sum()), "", "r")
+plain("return_contribution_top_quintile_by_volume", lambda g: ratio(g.r[g.v >= np.percentile(g.v, 80)].abs().sum(), g.r.abs().sum()), "cv", "r")
+plain("rms_vwap_dev_rel", lambda g: np.sqrt((((g.c - g.vw) / g.vw) ** 2).mean()), "cw", keep=lambda g: g.vw > 0)
+plain("std_vwap_dev_rel", lambda g: sd((g.c - g.vw) / g.vw), "cw", keep=lambda g: g.vw > 0, least=2)
+plain("robust_vol_mad_ret", lambda g: 1.4826 * (g.r - g.r.median()).abs().median(), kind="r", keep=positive, least=2)
+plain("roll_spread", lambda g: (lambda q: 2 * np.sqrt(-q) if q < 0 else NAN)(np.cov(np.diff(g.c)[1:], np.diff(g.c)[:-1])[0, 1]), least=4)
+plain("rq_logret", lambda g: len(g) / 3 * (g.r**4).sum(), kind="r", keep=positive, least=2)
+plain("rv_close_vwap_diff", lambda g: (np.diff(g.c - g.vw) ** 2).sum(), "cw", least=2)
+plain("rv_cond_above_vwap", lambda g: (g.r[g.c > g.vw] ** 2).sum() if (g.c > g.vw).any() else NAN, "cw", "r")
+plain("rv_cond_below_vwap", lambda g: (g.r[g.c <= g.vw] ** 2).sum() if (g.c <= g.vw).any() else NAN, "cw", "r")
+plain("rv_entropy_concentration", lambda g: np.clip(1 - entropy((g.r**2 / (g.r**2).sum()).values) / np.log((g.r**2 > 0).sum()), 0, 1) if (g.r**2 > 0).sum() >= 2 else NAN, kind="r", least=3)
+plain("rv_front_loading_score", lambda g: np.clip(front(g.r**2, g.m / 389), -1, 1), kind="r", least=3)
+plain("volume_front_loading_score", lambda g: front(g.v, g.m / 389), "v", least=2)
+plain("rv_gini_concentration", lambda g: ((2 * np.arange(1, len(g) + 1) - len(g) - 1) * np.sort(g.r**2)).sum() / (len(g) * (g.r**2).sum()) if (g.r**2).sum() > 0 else NAN, kind="r", keep=positive, least=2)
+plain("rv_last15m_share", lambda g: ratio((g.r[g.m >= 375] ** 2).sum(), (g.r**2).sum()), kind="r", least=3)
+plain("rv_last30m_share", lambda g: ratio((g.r[g.m >= 359] ** 2).sum(), (g.r**2).sum()), kind="r", keep=positive)
+for _width in (5, 15, 30):
+    plain(f"rv_logret_{_width}m", lambda g, w=_width: (np.diff(np.log(g.groupby(g.m // w).c.last())) ** 2).sum() if (g.m // w).nunique() >= 3 else NAN)
+plain("rv_per_min_logret", lambda g: (g.r**2).sum() / 389, kind="r", keep=positive)
+plain("rv_per_trade", lambda g: ratio((g.r**2).sum(), g.n.sum()), "cn", least=2)
+plain("rv_per_volume", lambda g: (g.r**2).sum() / g.v.sum() if (g.r**2).sum() > 0 and g.v.sum() > 0 else NAN, "cv", least=4)
+plain("rv_share_above_vwap", lambda g: ratio((g.r[g.c > g.vw] ** 2).sum(), (g.r**2).sum()), "cw", "r", positive)
+plain("rvol_over_sqrt_trades", lambda g: np.sqrt((g.r**2).sum()) / np.sqrt(g.n.sum()) if (g.r**2).sum() > 0 and g.n.sum() > 0 else NAN, "cn", least=4)
+plain("semivar_pos_over_neg", lambda g: ratio((g.r[g.r > 0] ** 2).sum(), (g.r[g.r < 0] ** 2).sum()), kind="r", keep=positive)
+
+
+def within(g):
+    return 3.5 * 1.4826 * (g.r - g.r.median()).abs().median()
+
+
+plain("rv_truncated_logret_k35", lambda g: (g.r[g.r.abs() <= within(g)] ** 2).sum(), kind="r", least=3)
+plain("rv_winsorized_logret_k35", lambda g: (g.r.clip(-within(g), within(g)) ** 2).sum(), kind="r", least=3)
+
+
+@define("rvol_ewma_logret_097", kind="r", least=3)
+def _(g):
+    var = g.r[0] ** 2
+    for x in g.r[1:]:
+        var = 0.97 * var + 0.03 * x * x
+    return np.sqrt(var)
+
+
+def flips(g):
+    sign = np.sign(g.s.values)
+    good = (sign[1:] != 0) & (sign[:-1] != 0)
+    return (sign[1:] != sign[:-1])[good].mean() if good.any() else NAN
+
+
+def shocks(g):
+    a = g.r.abs().values
+    return np.flatnonzero(a >= np.percentile(a, 90))
+
+
+plain("sign_change_rate", flips, kind="s")
+plain("shock_cluster_density_q90_win5", lambda g: np.mean([((shocks(g) != i) & (np.abs(shocks(g) - i) <= 5)).any() for i in shocks(g)]), "", "r")
+plain("rv_after_shock_share_k10", lambda g: ratio(sum(g.r[j] ** 2 for j in range(len(g)) if any(0 < j - i <= 10 for i in shocks(g))), (g.r**2).sum()), "", "r")
+plain("shock_calm_time_median_q50", lambda g: np.median([min(later) - i for i in shocks(g) if (later := [j for j in range(i + 1, len(g)) if abs(g.r[j]) <= g.r.abs().median()])] or [NAN]), "", "r")
+plain("spearman_absret_volume", lambda g: corr(g.r.abs().rank(), g.v.rank()), "cv", "r")
+plain("swing_amplitude_median", lambda g: (lambda x: np.median([abs(p.sum()) for p in np.split(x, np.flatnonzero(np.diff(np.sign(x))) + 1)]) if len(x) else NAN)(g.r[g.r != 0].values), "", "r")
+plain("tail_imbalance_q95_logret", lambda g: (lambda q: ratio(float((g.r <= -q).sum() - (g.r >= q).sum()), (g.r <= -q).sum() + (g.r >= q).sum()))(np.percentile(g.r.abs(), 95)), "", "r")
+plain("time_share_above_twap", lambda g: (g.c > g.c.mean()).mean(), least=2)
+plain("time_share_mid_range_20pct", lambda g: ((g.c - g.l.min()) / (g.h.max() - g.l.min())).clip(0, 1).between(0.4, 0.6).mean() if g.h.max() > g.l.min() else NAN, "hlc")
+plain("time_to_20pct_volume_frac", lambda g: g.m[np.argmax(g.v.cumsum() >= 0.2 * g.v.sum())] / 389 if g.v.sum() > 0 else NAN, "v")
+plain("time_to_50pct_volume_frac", lambda g: (g.m[np.argmax(g.v.cumsum() >= 0.5 * g.v.sum())] - g.m[0]) / 389 if g.v.sum() > 0 else NAN, "v")
+plain("time_to_50pct_volume_min", lambda g: g.m[np.argmax(g.v.cumsum() >= 0.5 * g.v.sum())] - g.m[0] if g.v.sum() > 0 else NAN, "v")
+plain("jump_count_local_k3_win21", lambda g: (lambda a, mad: ((a > 3 * mad) & (mad > 0)).sum() if (mad > 0).any() else NAN)(g.r.abs().values[20:], np.array([1.4826 * np.median(np.abs(w - np.median(w))) for w in np.lib.stride_tricks.sliding_window_view(g.r.abs().values, 21)])) if len(g) >= 21 else NAN, kind="r")
+
 
 @pytest.fixture(scope="module")
 def found(spark):
