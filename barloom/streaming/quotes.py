@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,31 +25,51 @@ def event_means(quotes: DataFrame, late: str = "10 minutes") -> DataFrame:
     )
 
 
-def tw_spread(quotes: DataFrame) -> DataFrame:
-    """Time-weighted relative spread per day and symbol so far, a row for each that got quotes in the batch.
+def tw_spread(quotes: DataFrame, late: str = "10 minutes") -> DataFrame:
+    """Time-weighted relative spread per day and symbol: a row for each that got quotes in the batch, and a final one.
 
-    The state of a day and symbol is its newest quote and two sums; a quote older than the newest one is left out.
-    The value holds the newest quote until the close, as the finished day's feature does.
+    quotes needs ts (event time), date, symbol, time, tie, open_ns, close_ns, bid and ask. The state of a day and symbol is its
+    newest quote and a few sums. The value holds the newest quote until the close, as the finished day's feature does. Quotes
+    older than the newest one of an earlier batch are left out and counted as late. When the watermark, late behind the newest
+    event, passes the close, the last row comes with final true and the state is freed; quotes of that day that come still later are
+    dropped by the watermark.
     """
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, value, area, weight = state.get if state.exists else (None, None, 0.0, 0.0)
-        bounds = None
-        for pdf in batches:
+        last, value, area, weight, dropped, opens, closes = state.get if state.exists else (None, 0.0, 0.0, 0.0, 0, 0, 0)
+        ended = state.hasTimedOut
+        ends_ms = None
+        for pdf in () if ended else batches:
             pdf = pdf[(pdf.bid + pdf.ask) > 0].sort_values(["time", "tie"], kind="stable")
-            for r in pdf.itertuples():
-                bounds = r.open_ns, r.close_ns
-                if last is not None and r.time < last:
+            if pdf.empty:
+                continue
+            opens, closes = int(pdf.open_ns.iloc[0]), int(pdf.close_ns.iloc[0])
+            # event time may be in another zone than time: the close is as far from both
+            ends_ms = int(pdf.ts.iloc[0].timestamp() * 1000) + (closes - int(pdf.time.iloc[0])) // 1_000_000
+            if last is not None:
+                dropped += int((pdf.time < last).sum())
+                pdf = pdf[pdf.time >= last]
+                if pdf.empty:
                     continue
-                if last is not None:
-                    dt = max(0, min(r.time, r.close_ns) - max(last, r.open_ns)) / 1e9
-                    area, weight = area + dt * value, weight + dt
-                last, value = int(r.time), max(2 * (r.ask - r.bid) / (r.ask + r.bid), 0.0)
-        if last is None or bounds is None:
+            spread = np.maximum(2 * (pdf.ask - pdf.bid) / (pdf.ask + pdf.bid), 0).to_numpy(np.float64)
+            times = pdf.time.to_numpy(np.int64)
+            if last is not None:
+                times, spread = np.append(last, times), np.append(value, spread)
+            held = np.maximum(0, np.minimum(times[1:], closes) - np.maximum(times[:-1], opens)) / 1e9
+            area, weight = area + float(held @ spread[:-1]), weight + float(held.sum())
+            last, value = int(times[-1]), float(spread[-1])
+        if last is None:
             return
-        state.update((last, value, area, weight))
-        tail = max(0, bounds[1] - max(last, bounds[0])) / 1e9
+        if ended:
+            state.remove()
+        else:
+            state.update((last, value, area, weight, dropped, opens, closes))
+            if ends_ms is not None:
+                state.setTimeoutTimestamp(max(ends_ms, state.getCurrentWatermarkMs() + 1))
+        tail = max(0, closes - max(last, opens)) / 1e9
         whole = weight + tail
-        yield pd.DataFrame({"date": [key[0]], "symbol": [key[1]], "value": [(area + tail * value) / whole if whole else None]})
+        yield pd.DataFrame({"date": [key[0]], "symbol": [key[1]], "value": [(area + tail * value) / whole if whole else None], "late": [dropped], "final": [ended]})
 
-    return quotes.groupBy("date", "symbol").applyInPandasWithState(update, "date date, symbol string, value double", "last long, value double, area double, weight double", "update", GroupStateTimeout.NoTimeout)
+    rows = quotes.select("ts", "date", "symbol", "time", "tie", "open_ns", "close_ns", "bid", "ask").withWatermark("ts", late)
+    kept = "last long, value double, area double, weight double, late long, opens long, closes long"
+    return rows.groupBy("date", "symbol").applyInPandasWithState(update, "date date, symbol string, value double, late long, final boolean", kept, "update", GroupStateTimeout.EventTimeTimeout)

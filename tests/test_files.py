@@ -124,15 +124,26 @@ def test_stream_ends_at_the_days_value(spark, tmp_path):
     quotes = derive(spark, "/root/testdata/sf0.001", "quotes").select("date", "symbol", "time", "tie", "open_ns", "close_ns", "bid", "ask")
     quotes = quotes.selectExpr("*", "timestamp_micros(time div 1000) AS ts").orderBy("time")
     quotes.coalesce(1).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(quotes.schema).parquet(str(tmp_path / "in"))
-    query = tw_spread(stream.drop("ts")).writeStream.outputMode("update").format("memory").queryName("spreads").start()
+    # a day later: the watermark passes all closes, and an old quote comes too late
+    more = quotes.orderBy("time", ascending=False).limit(1)
+    after = more.selectExpr("ts + INTERVAL 2 DAYS AS ts", "date_add(date, 2) AS date", "symbol", "time + 172800000000000 AS time", "tie", "open_ns + 172800000000000 AS open_ns", "close_ns + 172800000000000 AS close_ns", "bid", "ask").select(quotes.columns)
+    stream = spark.readStream.schema(quotes.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = tw_spread(stream).writeStream.outputMode("update").format("memory").queryName("spreads").start()
+    query.processAllAvailable()
+    after.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    query.processAllAvailable()
     query.processAllAvailable()
     query.stop()
-    got = spark.table("spreads").toPandas().set_index(["date", "symbol"]).value.sort_index()
+    last = spark.table("spreads").toPandas()
+    in_time = last.date <= quotes.agg({"date": "max"}).first()[0]
+    got = last[~last.final & in_time].set_index(["date", "symbol"]).value.sort_index()
     sample = derive(spark, "/root/testdata/sf0.001", "sample").where("symbol <> 'ZZZ'")
     want = one(features()["quote_tw_spread_all"], derive(spark, "/root/testdata/sf0.001", "quotes"), sample).toPandas().set_index(["date", "symbol"]).value.dropna().sort_index()
     pd.testing.assert_series_equal(got.dropna(), want.loc[got.dropna().index], rtol=1e-9)
     assert len(want) == len(got.dropna())
+    final = last[last.final & in_time].set_index(["date", "symbol"]).value.sort_index()  # each day's state was freed, with its value
+    assert len(final) >= len(got) - 10  # the newest days' closes may not have passed yet
+    pd.testing.assert_series_equal(final, got.loc[final.index], rtol=1e-12)
     query = event_means(stream).writeStream.outputMode("complete").format("memory").queryName("means").start()
     query.processAllAvailable()
     query.stop()
