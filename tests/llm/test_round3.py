@@ -14,7 +14,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from barloom.llm import align, annuli, turns, wrapper
+from barloom.llm import align, annuli, langid, turns, wrapper
 
 from .fixture import documents, prose
 
@@ -263,3 +263,51 @@ def test_tags_end_outside_of_quotes():
     assert said("<a <p>x</p>") == ["x"]
     assert said("1 < 2 <!-- <p>no</p> --> 3<!-- open <p>") == ["1 < 2 3"]
     assert said("<div>" * 300 + "deep" + "</p>" * 300 + "</div>" * 10) == ["deep"]
+
+
+# --- the language net
+
+
+def _small_net(seed):
+    rng = np.random.default_rng(seed)
+    net = langid.Net(["a", "b", "c"], seed)
+    net.tables, net.out = [t.astype(np.float64) for t in net.tables], net.out.astype(np.float64)
+    net.bias, net.out_bias = rng.normal(0, 0.1, net.bias.shape), rng.normal(0, 0.1, 3)
+    x = rng.integers(0, langid.ALPHABET, (5, langid.WINDOW)).astype(np.uint8)
+    return net, x, rng.integers(0, 3, 5)
+
+
+def _plain_net(net, x):
+    """Probabilities by a loop over windows, filters' widths and places."""
+    out = []
+    for w in x:
+        pooled = []
+        for table in net.tables:
+            answers = [sum(table[k][w[i + k]] for k in range(len(table))) for i in range(langid.WINDOW - 3)]
+            pooled.append(np.max(answers, axis=0))
+        z = np.maximum(np.concatenate(pooled) + net.bias, 0) @ net.out + net.out_bias
+        e = np.exp(z - z.max())
+        out.append(e / e.sum())
+    return np.array(out)
+
+
+def test_net_against_a_plain_loop():
+    net, x, _ = _small_net(1)
+    assert net.prepare().predict(x) == pytest.approx(_plain_net(net, x), abs=1e-5)
+
+
+def test_gradient_against_finite_differences():
+    net, x, y = _small_net(2)
+    loss = lambda: -np.log(_plain_net(net, x)[np.arange(len(y)), y]).mean()
+    rng = np.random.default_rng(0)
+    for p, g in zip([*net.tables, net.bias, net.out, net.out_bias], net._step(x, y), strict=True):
+        strong = np.argsort(-np.abs(g).ravel())[:3]
+        for k in {*strong.tolist(), int(rng.integers(p.size))}:
+            at = np.unravel_index(k, p.shape)
+            kept, step = p[at], 1e-6
+            p[at] = kept + step
+            up = loss()
+            p[at] = kept - step
+            down = loss()
+            p[at] = kept
+            assert g[at] == pytest.approx((up - down) / (2 * step), rel=1e-3, abs=1e-7)
