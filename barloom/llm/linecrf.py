@@ -15,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffer_of, slices, span_hashes, word_spans
+from .common import buffer_of, mix, signed, slices, span_hashes, word_spans
 from .langid import is_held_out
 
-#: About this many labelled rows, drawn by a hash of doc_id, train the field.
-ROWS = 4000
+#: About this many labelled rows, drawn by a hash of doc_id, train the field, and up to so many lines of each.
+ROWS, LINES = 4000, 500
 BINS, COMMON = 8, 200
 #: Steps in all, and how many of them take each line to have its document's label.
 STEPS, START, RATE, DECAY = 150, 20, 0.08, 1e-3
@@ -198,32 +198,55 @@ class Field:
         return 1 / (1 + np.exp(-np.clip(self.slope * self._mean(good, size, first) + self.shift, -500, 500))), good, first
 
 
+def _counted(batches):
+    """(word, n) of each slice's words, by hash."""
+    for part in slices(batches):
+        data, at = buffer_of(part.column("text"))
+        starts, ends, _ = word_spans(data, at)
+        value, times = np.unique(span_hashes(data, starts, ends), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(signed(value)), pa.array(times)], names=["word", "n"])
+
+
+def _stretch(lines: int, doc_id: int) -> slice:
+    """The lines of a document that training takes: all, or LINES in a row from a place drawn by doc_id."""
+    if lines <= LINES:
+        return slice(0, lines)
+    start = int(mix(np.array([doc_id], np.int64).view(np.uint64))[0] % np.uint64(lines - LINES + 1))
+    return slice(start, start + LINES)
+
+
 def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Field | None:
-    """Fit on about rows labelled documents outside the held-out fifth, drawn by a hash of doc_id; None without any."""
+    """Fit on about rows labelled documents outside the held-out fifth, drawn by a hash of doc_id; None without any.
+
+    Of each at most LINES neighbouring lines are taken. Tasks count the words and make the features; the driver gets no text, but
+    COMMON words and the features of rows * LINES lines at most.
+    """
     known = labels.where(~is_held_out() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     count = known.count()
     if not count:
         return None
     drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(min(1.0, rows / count) * (1 << 30)))
     # the draw is bounded by rows, so it may be broadcast
-    found = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").toArrow().sort_by([("doc_id", "ascending")])
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), "doc_id")
+    counts = chosen.mapInArrow(_counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    top = counts.orderBy(F.desc("n"), F.col("word").bitwiseXOR(F.lit(-(1 << 63)))).limit(COMMON).toArrow()
+    common = np.sort(np.asarray(top.column("word").combine_chunks(), np.int64).view(np.uint64)) if top.num_rows else np.zeros(0, np.uint64)
+
+    def measured(batches):
+        for part in slices(batches):
+            x, first, size = features(*buffer_of(part.column("text")), common)
+            own = [slice(lo + t.start, lo + t.stop) for i, lo, hi in zip(part.column("doc_id").to_pylist(), first[:-1].tolist(), first[1:].tolist(), strict=True) for t in [_stretch(hi - lo, i)]]
+            blobs = [pa.array([a[t].astype("<f4").tobytes() for t in own], pa.binary()) for a in (x, size)]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality").cast(pa.int32()), *blobs], names=["doc_id", "quality", "x", "size"])
+
+    found = chosen.mapInArrow(measured, "doc_id long, quality int, x binary, size binary").toArrow().sort_by([("doc_id", "ascending")])
     if not found.num_rows:
         return None
-    parts = list(slices(found.combine_chunks().to_batches()))
-    seen: list[np.ndarray] = []
-    for part in parts:
-        data, at = buffer_of(part.column("text"))
-        ws, we, _ = word_spans(data, at)
-        seen.append(span_hashes(data, ws, we))
-    value, times = np.unique(np.concatenate(seen), return_counts=True)
-    common = np.sort(value[np.lexsort((value, -times))[:COMMON]])
-    del seen, value, times
-    made = [features(*buffer_of(part.column("text")), common) for part in parts]
-    x = np.concatenate([m[0] for m in made])
-    first = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(m[1]) for m in made]))])
+    size = [np.frombuffer(b, "<f4") for b in found.column("size").to_pylist()]
+    first = np.concatenate([[0], np.cumsum([len(s) for s in size])])
+    x = np.frombuffer(b"".join(found.column("x").to_pylist()), "<f4").reshape(int(first[-1]), -1)
     edges = np.quantile(x, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
-    size = np.concatenate([m[2] for m in made])
-    return Field(edges, common).fit(x, first, np.array(found.column("quality").to_pylist()) == 1, size)
+    return Field(edges, common).fit(x, first, np.array(found.column("quality").to_pylist()) == 1, np.concatenate(size))
 
 
 def score(docs: DataFrame, field: Field | None) -> DataFrame:
