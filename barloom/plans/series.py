@@ -39,10 +39,10 @@ def _within(x: np.ndarray, far: float) -> np.ndarray:
     return lo - np.arange(n)
 
 
-def nth_distance(x: np.ndarray, k: int) -> float:
-    """The k-th least (from 0) of x[j] - x[i], i < j, for ascending x, by weighted medians of the rows' medians.
+def nth_distances(x: np.ndarray, k: int) -> tuple[float, float]:
+    """The k-th and the next least (from 0) of x[j] - x[i], i < j, for ascending x, by weighted medians of the rows' medians.
 
-    Once few pairs are left they are listed.
+    Once few pairs are left they are listed. The next one is the first again where there is none.
     """
     n = len(x)
     rows = np.arange(n)
@@ -53,20 +53,31 @@ def nth_distance(x: np.ndarray, k: int) -> float:
             i = np.repeat(rows, size)
             j = np.arange(len(i)) - np.repeat(np.cumsum(size) - size - left, size)
             rank = k - int((left - rows - 1).sum())
-            return float(np.partition(x[j] - x[i], rank)[rank])
+            found = float(np.partition(x[j] - x[i], rank)[rank])
+            return found, _after(x, found, _within(x, found), k)
         open_ = np.flatnonzero(size)
         mid = (left[open_] + right[open_]) // 2
         values, weight = x[mid] - x[open_], right[open_] - left[open_]
         order = np.argsort(values, kind="stable")
         half = np.searchsorted(np.cumsum(weight[order]), weight.sum() / 2)
         guess = float(values[order[min(half, len(order) - 1)]])
-        upto, below = _within(x, guess), _within(x, np.nextafter(guess, -np.inf))
-        if below.sum() <= k < upto.sum():
-            return guess
-        if k < below.sum():
-            right = np.minimum(right, rows + 1 + below)
-        else:
+        upto = _within(x, guess)
+        if k >= upto.sum():
             left = np.maximum(left, rows + 1 + upto)
+            continue
+        below = _within(x, np.nextafter(guess, -np.inf))
+        if below.sum() <= k:
+            return guess, _after(x, guess, upto, k)
+        right = np.minimum(right, rows + 1 + below)
+
+
+def _after(x: np.ndarray, value: float, upto: np.ndarray, k: int) -> float:
+    """The distance of rank k + 1, where value has rank k and each row has upto distances of at most value."""
+    if upto.sum() > k + 1:
+        return value
+    first = np.arange(len(x)) + 1 + upto
+    some = first < len(x)
+    return float((x[first[some]] - x[some]).min()) if some.any() else value
 
 
 def between(a: float, b: float, part: float) -> float:
@@ -82,8 +93,7 @@ def distance_quantile(x: np.ndarray, share: float) -> float | None:
         return None
     at = share * (pairs - 1)
     k = int(at)
-    low = nth_distance(x, k)
-    return low if at == k else between(low, nth_distance(x, k + 1), at - k)
+    return between(*nth_distances(x, k), at - k)
 
 
 # --- order statistics of all slopes
@@ -147,7 +157,8 @@ def median_slope(y: np.ndarray, x: np.ndarray) -> float | None:
     upto = lambda s: inversions(_ranks(y - s * x)) - same
     slope = lambda i, j: (y[j] - y[i]) / (x[j] - x[i])
 
-    def nth(k: int) -> float:
+    def nth(k: int, many: int) -> list[float]:
+        """The slopes of ranks k to k + many - 1."""
         lo, hi, below, known = -np.inf, np.inf, 0, pairs  # slopes in (lo, hi] have ranks below .. known - 1
         for _ in range(32):
             if known - below <= LISTED * n:
@@ -161,17 +172,17 @@ def median_slope(y: np.ndarray, x: np.ndarray) -> float | None:
             at, wide = (k - below) / (known - below) * len(drawn), 2 * np.sqrt(len(drawn))
             for guess in drawn[np.clip([int(at - wide), int(at + wide)], 0, len(drawn) - 1)].tolist():
                 count = upto(guess)
-                if count > k and guess < hi:
+                if count >= k + many and guess < hi:
                     hi, known = guess, count
                 elif count <= k and guess > lo:
                     lo, below = guess, count
         i, j = _flips(y, x, lo, hi)
         apart = x[i] < x[j]
         found = slope(i[apart], j[apart])
-        return float(np.partition(found, k - below)[k - below])
+        ranks = list(range(k - below, k - below + many))
+        return np.partition(found, ranks)[ranks].tolist()
 
-    middle = (pairs - 1) // 2
-    return nth(middle) if pairs % 2 else (nth(middle) + nth(middle + 1)) / 2
+    return sum(nth((pairs - 1) // 2, 2 - pairs % 2)) / (2 - pairs % 2)
 
 
 # --- counts of alike stretches
