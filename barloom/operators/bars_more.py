@@ -185,7 +185,10 @@ feat("shock_cluster_density_q90_win5", (*SHOCK, add(near=rows("sum(sh)", "5 PREC
 feat("shock_followthrough_score_k5", (*SHOCK, add(nx=rows("sum(r)", "1 FOLLOWING", "5 FOLLOWING"))), "avg(CASE WHEN sh = 1 AND nx IS NOT NULL THEN CAST(sign(r) AS DOUBLE) * sign(nx) END)")
 feat("shock_nextbar_reversion_ratio", (*SHOCK, add(nx=lead("r"))), "avg(CASE WHEN sh = 1 AND a > 0 THEN -sign(r) * nx / a END)", "count(*) >= 2")
 feat("time_to_first_extreme_q90_absret_frac", SHOCK, div("min(CASE WHEN sh = 1 THEN k END)", "CAST(max(nr) AS DOUBLE)"))
-feat("shock_calm_time_median_q50", (*SHOCK, add(calm=rows("min(CASE WHEN a <= md THEN k END)", "1 FOLLOWING", "UNBOUNDED FOLLOWING"))), "median(CASE WHEN sh = 1 THEN CAST(calm - k AS DOUBLE) END)")
+# the first calm row behind is the least so far from the day's end on: a frame that grows takes a step a row, one that shrinks all rows left
+_next_calm, _calm_time = "min(CASE WHEN a <= md THEN k END)", "median(CASE WHEN sh = 1 THEN CAST(calm - k AS DOUBLE) END)"
+_CALM = (*SHOCK, add(calm=rows(_next_calm, "UNBOUNDED PRECEDING", "1 PRECEDING", "k DESC")))
+feat("shock_calm_time_median_q50", _CALM, _calm_time, check=((*SHOCK, add(calm=rows(_next_calm, "1 FOLLOWING", "UNBOUNDED FOLLOWING"))), _calm_time))
 _HALF = (*ENDS, add(tot=over("sum(r)")), add(cr=running("sum(r * sign(tot))")))
 feat("time_to_half_openclose_ret_frac", _HALF, div("min(CASE WHEN cr >= 0.5 * abs(tot) THEN k END)", "CAST(max(nr) AS DOUBLE)"), "abs(max(tot)) >= 1e-12")
 _MAJ = (*ENDS, add(sg="CAST(sign(r) AS DOUBLE)"), add(maj=f"sign({rows('sum(sg)', '5 PRECEDING', '1 PRECEDING')})"))

@@ -8,6 +8,7 @@ import pytest
 
 from barloom.operators.catalog import features
 from barloom.plans.feature import one
+from barloom.plans.frame import Add
 
 DAY = dt.date(2024, 3, 4)
 KNOWN = features()
@@ -165,3 +166,20 @@ def test_conditional_variance_drops_rows_without_a_log(spark, seed):
         lr, s = np.diff(np.log(closes)), closes[1:] / closes[:-1] - 1
     for name, side in (("rv_cond_up", s > 0), ("rv_cond_down", s < 0)):
         assert value(spark, name, day(closes)) == pytest.approx(np.sum(lr[side & np.isfinite(lr)] ** 2), rel=1e-9)
+
+
+def test_no_window_shrinks_row_by_row():
+    """A frame that ends at the day's last row is summed up anew for each row: the square of a day's rows."""
+    steps = [(f.name, e) for f in KNOWN.values() for step in f.frame if isinstance(step, Add) for _, e in step.cols]
+    assert [name for name, e in steps if "UNBOUNDED FOLLOWING" in e] == []
+
+
+def test_calm_time_of_a_long_day(spark):
+    closes = 100 + np.round(np.random.default_rng(5).normal(0, 1, 3000), 2)
+    r = np.diff(np.log(closes))
+    a = abs(r)
+    calm = np.flatnonzero(a <= np.median(a))
+    shocks = np.flatnonzero(a >= np.quantile(a, 0.9))
+    after = np.searchsorted(calm, shocks, "right")
+    waits = [calm[j] - k for k, j in zip(shocks, after, strict=True) if j < len(calm)]
+    assert value(spark, "shock_calm_time_median_q50", day(closes, step=5)) == np.median(waits)
