@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..plans import series
-from ..plans.frame import Add, Fold, Frame, Group, Keep, Pairs, Series, add, clip, corr, div, lag, lead, number, over, pct, rows, running, share, total
+from ..plans.frame import Add, Fold, Frame, Group, Keep, Pairs, Series, add, clip, corr, div, lag, lead, number, over, pct, rows, running, share, total, when
 from .bars import R, RC, RV, S, SV, bars, feat, logs, r_rows
 
 ENDS = r_rows("")
@@ -330,13 +330,27 @@ feat("wavelet_energy_highfreq_share", _HAAR, clip(f"1 - {div('sum(y * y)', 'max(
 
 # --- states carried from bar to bar
 _al = "(2 / CAST(21 AS DOUBLE))"
-_EMA = (
+# the average's step is _al * (c - em): its sign needs no difference of averages. The powers of the check leave the range of a double after some 7040 bars
+_both_move, _same = "s.em - s.em = 0 AND NOT isnan(x.c) AND x.c <> s.c AND x.c <> s.em", "(x.c > s.c) = (x.c > s.em)"
+_EMA = Fold(
+    "i",
+    ("c",),
+    (
+        ("c", "DOUBLE", "NULL", "x.c"),
+        ("em", "DOUBLE", "NULL", f"CASE WHEN s.em IS NULL THEN x.c ELSE s.em + {_al} * (x.c - s.em) END"),
+        ("moved", "BIGINT", "0", f"CASE WHEN {_both_move} THEN s.moved + 1 ELSE s.moved END"),
+        ("same", "BIGINT", "0", f"CASE WHEN {_both_move} AND {_same} THEN s.same + 1 ELSE s.same END"),
+        ("rows", "BIGINT", "0", "s.rows + 1"),
+    ),
+)
+_EMA_POWERS = (
     *bars("c"),
     add(zc=f"CASE WHEN i = 1 THEN c ELSE {_al} * c * pow(1 - {_al}, 1 - i) END"),
     add(em=f"pow(1 - {_al}, i - 1) * {running('sum(zc)')}"),
     add(dc=f"sign(c - {lag('c')})", de=f"sign(em - {lag('em')})"),
 )
-feat("ema20_trend_align_share", _EMA, share("dc = de", "dc <> 0 AND de <> 0"), "count(*) >= 3")
+_aligned = when("count(*) >= 3", share("dc = de", "dc <> 0 AND de <> 0"))
+feat("ema20_trend_align_share", (*bars("c"), _EMA), when("max(rows) >= 3", div("max(same)", "max(moved)")), check=(_EMA_POWERS, _aligned))
 # directional changes of 10 basis points: way of the leg, its extreme, the first close and the changes so far
 _open_up, _open_down = "s.way = 0 AND x.c >= s.ref * 1.001e0", "s.way = 0 AND x.c <= s.ref * 0.999e0"
 _turn_up, _turn_down = "s.way = -1 AND x.c >= s.ext * 1.001e0", "s.way = 1 AND x.c <= s.ext * 0.999e0"

@@ -183,3 +183,13 @@ def test_calm_time_of_a_long_day(spark):
     after = np.searchsorted(calm, shocks, "right")
     waits = [calm[j] - k for k, j in zip(shocks, after, strict=True) if j < len(calm)]
     assert value(spark, "shock_calm_time_median_q50", day(closes, step=5)) == np.median(waits)
+
+
+def test_average_of_a_day_of_very_many_bars(spark):
+    """Powers of the decay leave the range of a double after some 7040 bars."""
+    closes = 100 + np.cumsum(np.round(np.random.default_rng(11).normal(0, 0.05, 9000), 2))
+    closes[7500:] = np.repeat(closes[7500:7750], 6)
+    moves = np.sign(np.diff(closes))
+    averages = np.sign(pd.Series(closes).ewm(span=20, adjust=False).mean().diff().to_numpy()[1:])
+    both = (moves != 0) & (averages != 0)
+    assert value(spark, "ema20_trend_align_share", day(closes, step=2)) == pytest.approx((moves == averages)[both].mean(), rel=1e-12)
