@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import SPACE, buffer_of, slices, word_spans
+from .common import SLICE_BYTES, SPACE, buffer_of, give_back, slices, word_spans
 
 WINDOW = 2048
 END_ID = 1
@@ -106,6 +106,10 @@ class Words:
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        """Let go of all that was learned; the tokenizer stays."""
         self.parts = None
         self.reset()
 
@@ -305,13 +309,17 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW) ->
         path = tokenizer or default_tokenizer()
         words = _known.get(path) or _known.setdefault(path, Words(path))
         stream = _Stream(TaskContext.get().partitionId(), window)
-        for part in slices(batches):
+        # a text's ids and their places take many times its bytes
+        for part in slices(batches, limit=SLICE_BYTES // 2):
             ids, doc_ends, ends = words.encode(part.column("text"))
             stream.add(part.column("doc_id").to_pylist(), ids, doc_ends, ends)
             if len(stream.ids) >= BLOCK and (out := stream.flush(False)):
                 yield out
         if out := stream.flush(True):
             yield out
+        # the worker lives on, and runs tasks of other stages
+        words.forget()
+        give_back()
 
     schema = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, ids binary"
     return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, schema)

@@ -10,11 +10,12 @@ from functools import cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from barloom.llm import align, annuli, langid, turns, wrapper
+from barloom.llm import align, annuli, langid, packing, turns, wrapper
 
 from .fixture import documents, prose
 
@@ -311,3 +312,22 @@ def test_gradient_against_finite_differences():
             down = loss()
             p[at] = kept
             assert g[at] == pytest.approx((up - down) / (2 * step), rel=1e-3, abs=1e-7)
+
+
+def test_packing_leaves_nothing_in_its_worker(monkeypatch):
+    """Workers outlive their stages: what a task has learned would count against the stages after it."""
+
+    class Direct:
+        selectExpr = lambda self, *_: self
+        mapInArrow = lambda self, run, _: run
+        partitionId = lambda self: 0
+
+    monkeypatch.setattr(packing.TaskContext, "get", classmethod(lambda _: Direct()))
+    most, encode = [], packing.Words.encode
+    monkeypatch.setattr(packing.Words, "encode", lambda self, texts: most.append(texts.nbytes) or encode(self, texts))
+    texts = [" ".join(f"w{k}x{j}" for j in range(2000)) for k in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    tokens = sum(b.column("length").to_numpy().sum() for b in packing.pack(Direct())(iter([batch])))
+    assert tokens > 200 * 2000 and 1 < len(most) and max(most) < 1.2e6
+    words = packing._known[packing.default_tokenizer()]
+    assert len(words.pieces) == len(words.parts) == 1
