@@ -14,8 +14,11 @@ import html as _html
 import re
 from array import array
 from bisect import bisect_right, insort
+from collections.abc import Callable
 from hashlib import blake2b
+from math import isqrt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +33,7 @@ REGION = 0.7
 DEPTH = 100
 #: Levels whose elements make a page's layout.
 OUTER = 3
-#: Up to so many pairs of children are compared; of wider elements the children of a kind are paired in order.
+#: Tables of up to so many pairs of children are kept whole; of larger ones some rows, from which the others are made again.
 CELLS = 250_000
 #: Pivots and wrappers of so many bytes are broadcast; more are joined by shuffle.
 BROADCAST_BYTES = 8 << 20
@@ -348,18 +351,102 @@ def unpack_tree(said: str) -> Tree:
     return root.children[0]
 
 
-def match(a: Tree, b: Tree) -> tuple[int, list[tuple[Tree, Tree]]]:
-    """Simple tree matching: weight and pairs of a heaviest order-preserving match of two trees whose roots have one name.
+def _said(u: Tree) -> list[int]:
+    """Hashes of all texts of a tree."""
+    return [u.key] if u.name == "" else [key for c in u.children for key in _said(c)]
 
-    A pair of nodes has equal names and matched parents; it weighs 1, a pair of equal texts 2.
+
+def _form(u: Tree, keys: frozenset) -> str:
+    """Names of a tree's elements in their order, and the hashes of its texts that are among keys."""
+    if u.name == "":
+        return f"#{u.key}" if u.key in keys else "#"
+    return f"{u.name}({''.join(_form(c, keys) for c in u.children)})"
+
+
+def _numbered(names: list) -> tuple[np.ndarray, list[int]]:
+    """Numbers of names as they first appear, and the places of these."""
+    found: dict = {}
+    number = np.array([found.setdefault(x, len(found)) for x in names], np.int64)
+    return number, np.unique(number, return_index=True)[1].tolist()
+
+
+class _Wide:
+    """The table of many children, of which every some rows are kept and those between made again; total is its last entry.
+
+    Children of one form, in which texts that are not on both sides are alike, have a row of weights in common. Where
+    two children share no text but such as many hold, their weight is that of their elements and those texts.
     """
-    tables: dict[tuple[int, int], list] = {}
+
+    def __init__(self, x: list[Tree], y: list[Tree], keys: frozenset | None):
+        self.x, self.y = x, y
+        both = frozenset(k for u in x for k in _said(u)).intersection(k for v in y for k in _said(v))
+        both = both if keys is None else both & keys
+        self.kind = [_form(u, both) for u in x]
+        self.of, self.kinds = _numbered([_form(v, both) for v in y])
+        holders: dict[int, list[int]] = {}
+        for n, j in enumerate(self.kinds):
+            for key in both.intersection(_said(y[j])):
+                holders.setdefault(key, []).append(n)
+        many = frozenset(key for key, own in holders.items() if len(own) > isqrt(len(self.kinds)))
+        self.holders = {key: own for key, own in holders.items() if key not in many}
+        self.shape = [_form(u, many) for u in x]
+        self.shape_of, self.shapes = _numbered([_form(y[j], many) for j in self.kinds])
+        (self.tables, self.weight), (self.bare_tables, self.bare) = _weigher(both), _weigher(many)
+        self.bases: dict[str, np.ndarray] = {}
+        self.rows: dict[str, np.ndarray] = {}
+        self.every = max(1, isqrt(len(x)))
+        above = np.zeros(len(y) + 1, np.int32)
+        self.kept = [above]
+        for i in range(len(x)):
+            above = self._next(above, i)
+            if (i + 1) % self.every == 0:
+                self.kept.append(above)
+        self.total = int(above[-1])
+
+    def _weights(self, i: int) -> np.ndarray:
+        found = self.rows.get(self.kind[i])
+        if found is None:
+            u, base = self.x[i], self.bases.get(self.shape[i])
+            if base is None:
+                base = np.array([self.bare(u, self.y[self.kinds[n]]) for n in self.shapes], np.int32)[self.shape_of]
+                self.bare_tables.clear()
+                if len(self.bases) >= 64:
+                    self.bases.clear()
+                self.bases[self.shape[i]] = base
+            found = base.copy()
+            for n in {n for key in _said(u) for n in self.holders.get(key, ())}:
+                found[n] = self.weight(u, self.y[self.kinds[n]])
+                self.tables.clear()
+            if len(self.rows) >= 64:
+                self.rows.clear()
+            self.rows[self.kind[i]] = found
+        return found[self.of]
+
+    def _next(self, above: np.ndarray, i: int) -> np.ndarray:
+        row = above.copy()
+        np.maximum(above[1:], above[:-1] + self._weights(i), out=row[1:])
+        return np.maximum.accumulate(row)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        """Row i; asked from the last one on, rows between two kept ones are made once."""
+        block = i // self.every
+        if getattr(self, "block", None) != block:
+            made = [self.kept[block]]
+            for k in range(block * self.every, min((block + 1) * self.every - 1, len(self.x))):
+                made.append(self._next(made[-1], k))
+            self.block, self.made = block, made
+        return self.made[i - block * self.every]
+
+
+def _weigher(keys: frozenset | None = None) -> tuple[dict, Callable[[Tree, Tree], int]]:
+    """The tables made so far, by the ids of two elements, and the function that weighs two trees. keys: no other texts are equal."""
+    tables: dict[tuple[int, int], tuple] = {}
 
     def weight(u: Tree, v: Tree) -> int:
         if u.name != v.name:
             return 0
         if u.name == "":
-            return 2 if u.key == v.key else 1
+            return 2 if u.key == v.key and (keys is None or u.key in keys) else 1
         x, y = u.children, v.children
         if not x or not y:
             return 1
@@ -367,10 +454,13 @@ def match(a: Tree, b: Tree) -> tuple[int, list[tuple[Tree, Tree]]]:
             return 1 + weight(x[0], y[0])
         known = tables.get((id(u), id(v)))
         if known is None:
-            known = tables[id(u), id(v)] = ranked(x, y) if len(x) * len(y) > CELLS else table(x, y)
+            known = tables[id(u), id(v)] = table(x, y)
         return 1 + known[0]
 
-    def table(x: list[Tree], y: list[Tree]) -> list:
+    def table(x: list[Tree], y: list[Tree]) -> tuple:
+        if len(x) * len(y) > CELLS:
+            wide = _Wide(x, y, keys)
+            return wide.total, wide
         above = array("i", bytes(4 * (len(y) + 1)))
         rows = [above]
         for u in x:
@@ -381,21 +471,17 @@ def match(a: Tree, b: Tree) -> tuple[int, list[tuple[Tree, Tree]]]:
                 row[j + 1] = best
             rows.append(row)
             above = row
-        return [above[len(y)], rows]
-
-    def ranked(x: list[Tree], y: list[Tree]) -> list:
-        kinds: dict[str, list[Tree]] = {}
-        for v in y:
-            kinds.setdefault(v.name, []).append(v)
-        seen: dict[str, int] = {}
-        pairs = []
-        for u in x:
-            k = seen.get(u.name, 0)
-            if k < len(kinds.get(u.name, ())):
-                pairs.append((u, kinds[u.name][k]))
-                seen[u.name] = k + 1
-        return [sum(weight(u, v) for u, v in pairs), pairs]
+        return above[len(y)], rows
+
+    return tables, weight
+
+
+def match(a: Tree, b: Tree) -> tuple[int, list[tuple[Tree, Tree]]]:
+    """Simple tree matching: weight and pairs of a heaviest order-preserving match of two trees whose roots have one name.
 
+    A pair of nodes has equal names and matched parents; it weighs 1, a pair of equal texts 2.
+    """
+    tables, weight = _weigher()
     total, pairs, todo = weight(a, b), [], [(a, b)] if a.name == b.name else []
     while todo:
         u, v = todo.pop()
@@ -407,10 +493,8 @@ def match(a: Tree, b: Tree) -> tuple[int, list[tuple[Tree, Tree]]]:
             if x[0].name == y[0].name:
                 todo.append((x[0], y[0]))
             continue
+        weight(u, v)  # the tables within a wide element's children were not kept
         found = tables[id(u), id(v)][1]
-        if len(x) * len(y) > CELLS:
-            todo += found
-            continue
         i, j = len(x), len(y)
         while i and j:
             if found[i][j] == found[i - 1][j]:

@@ -425,3 +425,24 @@ def test_lcs():
 def test_crc_of_ids(spark):
     row = packing.pack(documents(spark, {1: "hello"})).selectExpr("crc32(ids) c", "ids").first()
     assert row.c == zlib.crc32(bytes(row.ids)) and prose(1, 3)
+
+
+def test_wide_elements_match_as_narrow_ones(monkeypatch):
+    """The size of a table decides how it is kept, not what it says: not even which of equal matches is found."""
+    rng = np.random.default_rng(8)
+    for _ in range(100):
+        a, b = (wrapper.unpack_tree("r(" + "".join(random_tree(rng) for _ in range(6)) + ")") for _ in range(2))
+        found = []
+        for cells in (wrapper.CELLS, 6, 0):
+            with monkeypatch.context() as patch:
+                patch.setattr(wrapper, "CELLS", cells)
+                total, pairs = wrapper.match(a, b)
+            found.append((total, [(u.number, v.number) for u, v in pairs]))
+        assert found[0] == found[1] == found[2] and found[0][0] == heaviest(a, b)
+
+
+def test_a_wide_element_that_starts_with_more(monkeypatch):
+    """Paired in their order, no two of these rows would say the same."""
+    row = lambda k: f"tr(td(#1,5,5 )td(#{k + 10},5,5 ))"
+    a, b = (wrapper.unpack_tree("r(" + "".join(row(k) for k in range(lo, lo + 600)) + ")") for lo in (0, 7))
+    assert wrapper.match(a, b)[0] == 1 + 593 * 7
