@@ -6,7 +6,8 @@ over the stretch. At the first difference a window is resolved by itself, its co
 shift is set anew. Tokenizers see each distinct stretch of text once: pieces that neither can join with what lies before them.
 
 Pairs of ids that end together are counted over all documents: each slice sends its distinct pairs with their counts, and
-gets back the totals of those.
+gets back the totals of those. What a slice sends is cut into small rows, since Spark's readers and writers of Parquet hold
+thousands of rows at once, whatever their width.
 """
 
 from __future__ import annotations
@@ -26,8 +27,10 @@ from .common import buffer_of, materialize, slices
 from .packing import _Ids as Ragged
 from .packing import _Numbering as Numbering
 
-#: Bytes of text in a slice, and distinct pieces that a worker remembers before it starts over.
-SLICE, REMEMBERED = 2 << 20, 400_000
+#: Bytes of text in a slice, and distinct pieces, and bytes of them, that a worker remembers before it starts over.
+SLICE, REMEMBERED, REMEMBERED_BYTES = 2 << 20, 400_000, 32 << 20
+#: Links in a row of a document; more are rows of their own.
+PART = 4096
 #: New pieces that one call of a tokenizer encodes.
 JOINED = 4096
 #: Length of the first probe along a diagonal, and least and greatest window of an irregular group.
@@ -77,6 +80,7 @@ class Both:
         self.known = Numbering()
         self.known.numbers([b""])
         self.known.take()
+        self.held = 0
         self.ids, self.fits = (Ragged(), Ragged()), [True]
         for table in self.ids:
             table.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
@@ -88,6 +92,7 @@ class Both:
 
     def _learn(self, pieces: list[bytes]) -> None:
         """Number new pieces and add their ids; many are encoded as one text, whose tokens end where the pieces do."""
+        self.held += sum(map(len, pieces))
         # behind a piece that ends in a blank, and before one that doesn't begin with one, others could join
         plain = [p for p in pieces if p[-1:] > b" " and p[0] in (32, 10)]
         for lo in range(0, len(plain), JOINED):
@@ -143,12 +148,13 @@ class Both:
             return 0
         self.known.numbers([(text,)])  # under a key that no piece has
         self.known.take()
+        self.held += len(text)
         self._add(a, b, True)
         return len(self.fits) - 1
 
     def encode(self, texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of all texts by A and by B, and the n + 1 places of each text's in them. Empty texts have none."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED or self.held > REMEMBERED_BYTES:
             self.reset()
         data, at = buffer_of(texts)
         count = len(at) - 1
@@ -297,12 +303,22 @@ def spelled(ids: list[np.ndarray], last: list[np.ndarray], doc_groups: np.ndarra
 
 
 _known: dict[tuple[str, str], Both] = {}
-_SLICE = "slice long, pairs array<struct<pair: long, n: long>>, doc_ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, sha array<string>, ends binary, links binary"
+_ROW = {"slice": pa.int64(), "k": pa.int32(), "pair": pa.int64(), "n": pa.int64(), "doc": pa.int32()}
+_ROW |= {"doc_id": pa.int64(), "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "sha": pa.string(), "links": pa.binary()}
+_ROWS = "slice long, k int, pair long, n long, doc int, doc_id long, n_a long, n_b long, n_groups long, sha string, links binary"
+
+
+def _rows(columns: dict[str, np.ndarray | pa.Array]) -> pa.RecordBatch:
+    """Rows of an aligned slice; columns that aren't given are null."""
+    size = len(columns["slice"])
+    arrays = [columns[c] if isinstance(columns.get(c), pa.Array) else pa.array(columns[c], t) if c in columns else pa.nulls(size, t) for c, t in _ROW.items()]
+    return pa.RecordBatch.from_arrays(arrays, names=list(_ROW))
 
 
 def align(docs: DataFrame, paths: tuple[str, str] | None = None) -> DataFrame:
-    """Slices of docs (doc_id, text), aligned: per slice its distinct pairs of ids that end together with their counts, and of
-    its documents doc_ids, n_a, n_b, n_groups, sha (of the groups' spelling), ends (of each one's links) and links, as numbers of pairs.
+    """Slices of docs (doc_id, text), aligned, in rows of two kinds, both with the number of their slice. Where doc is null: the
+    k-th of the slice's distinct pairs of ids that end together, and its count n there. Else of its doc-th document up to PART
+    links, as numbers k; a document's first row has doc_id, n_a, n_b, n_groups and sha (of the groups' spelling) too.
 
     Null and empty texts, and texts that either tokenizer doesn't give back byte by byte, have no tokens. Repeated rows
     are aligned each; extra columns are ignored; a very long text is a slice of its own. paths: the tokenizers' files on every executor.
@@ -320,26 +336,30 @@ def align(docs: DataFrame, paths: tuple[str, str] | None = None) -> DataFrame:
             said = spelled(ids, list(last), groups)
             pairs, link, times = distinct(ids[0][last[0]], ids[1][last[1]])
             sha = [hashlib.sha256(s).hexdigest() if s else "" for s in said]
-            row = {
-                "slice": base + k,
-                "pairs": pa.ListArray.from_arrays([0, len(pairs)], pa.StructArray.from_arrays([pa.array(pairs), pa.array(times.astype(np.int64))], ["pair", "n"])),
-                "ends": [groups[1:].astype("<i8").tobytes()],
-                "links": [link.astype("<u4").tobytes()],
-                "sha": [sha],
-            }
-            lists = {"doc_ids": part.column("doc_id").cast(pa.int64()).to_pylist(), "n_a": np.diff(places[0]), "n_b": np.diff(places[1]), "n_groups": np.diff(groups)}
-            order = ["slice", "pairs", "doc_ids", "n_a", "n_b", "n_groups", "sha", "ends", "links"]
-            row |= {c: pa.array([x if isinstance(x, list) else x.tolist()], pa.list_(pa.int64())) for c, x in lists.items()}
-            row["slice"] = pa.array([row["slice"]], pa.int64())
-            row["ends"], row["links"], row["sha"] = pa.array(row["ends"], pa.binary()), pa.array(row["links"], pa.binary()), pa.array(row["sha"], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([row[c] for c in order], names=order)
-
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, _SLICE)
+            yield _rows({"slice": np.full(len(pairs), base + k), "k": np.arange(len(pairs)), "pair": pairs, "n": times})
+            doc, start = parts(groups)
+            first = np.diff(doc, prepend=-1) > 0
+            whole = {c: x[doc] for c, x in (("n_a", np.diff(places[0])), ("n_b", np.diff(places[1])), ("n_groups", np.diff(groups)))}
+            columns = {c: pa.array(x, pa.int64(), mask=~first) for c, x in whole.items()}
+            columns["doc_id"] = part.column("doc_id").cast(pa.int64()).take(pa.array(np.where(first, doc, 0), mask=~first))
+            columns["sha"] = pa.array(sha, pa.string()).take(pa.array(np.where(first, doc, 0), mask=~first))
+            columns["links"] = pa.BinaryArray.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer((np.append(start, len(link)) * 4).astype(np.int32)), pa.py_buffer(link.astype("<u4"))])
+            yield _rows({"slice": np.full(len(doc), base + k), "doc": doc, **columns})
+
+    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, _ROWS)
+
+
+def parts(groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the rows that n documents' links are cut into, the document and the first link. groups: the n + 1 borders of their links."""
+    size = np.diff(groups)
+    rows = np.maximum(1, -(-size // PART))
+    doc = np.repeat(np.arange(len(size)), rows)
+    return doc, groups[doc] + PART * (np.arange(len(doc)) - np.repeat(np.cumsum(rows) - rows, rows))
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
     """Rows (a, b, n, best): how many links of all documents join the ids a and b, and whether no other a has more with b."""
-    counts = aligned.select(F.inline("pairs")).groupBy("pair").agg(F.sum("n").alias("n"))
+    counts = aligned.where("doc is null").groupBy("pair").agg(F.sum("n").alias("n"))
     counts = counts.withColumn("b", F.col("pair") % PAIR)
     top = counts.groupBy("b").agg(F.max("n").alias("top"))
     return counts.join(top, "b").select(F.expr(f"pair div {PAIR}").alias("a"), "b", "n", (F.col("n") == F.col("top")).alias("best"))
@@ -349,22 +369,29 @@ def digest(docs: DataFrame, paths: tuple[str, str] | None = None) -> DataFrame:
     """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256. The cases are those of align()."""
     aligned = materialize(align(docs, paths), "aligned", "zstd")
     counts = materialize(pair_counts(aligned), "pairs").select((F.col("a") * PAIR + F.col("b")).alias("pair"), F.col("n").alias("all"), "best")
-    wanted = aligned.select("slice", F.posexplode("pairs").alias("k", "p")).select("slice", "k", F.col("p.pair").alias("pair"))
-    known = wanted.join(counts, "pair").select(F.col("slice").alias("own"), "k", "all", "best")
+    known = aligned.where("doc is null").select("slice", "k", "pair").join(counts, "pair").select(F.col("slice").alias("own"), "k", "all", "best")
 
-    def sums(slice_: pa.Table, found: pa.Table) -> pa.Table:
-        if not slice_.num_rows:
+    def sums(rows: pa.Table, found: pa.Table) -> pa.Table:
+        if not rows.num_rows:
             return pa.table({c: pa.array([], t) for c, t in _DIGEST.items()})
-        one = {c: slice_.column(c)[0] for c in ("doc_ids", "n_a", "n_b", "n_groups", "sha", "ends", "links")}
         n, best = np.zeros(found.num_rows, np.int64), np.zeros(found.num_rows, np.int64)
         at = np.asarray(found.column("k"))
         n[at], best[at] = np.asarray(found.column("all")), np.asarray(found.column("best").cast(pa.int64()))
-        ends, link = np.frombuffer(one["ends"].as_py(), "<i8"), np.frombuffer(one["links"].as_py(), "<u4")
-        summed = lambda x: np.diff(np.concatenate([[0], np.cumsum(x[link])])[ends], prepend=0)
-        columns = [one["doc_ids"].values, one["n_a"].values, one["n_b"].values, one["n_groups"].values, pa.array(np.diff(ends, prepend=0)), pa.array(summed(best)), pa.array(summed(n)), one["sha"].values]
+        data, ends = buffer_of(rows.column("links"))
+        link, ends, doc = data.view("<u4"), ends // 4, np.asarray(rows.column("doc"))
+
+        def summed(x: np.ndarray) -> np.ndarray:
+            out = np.zeros(int(doc.max()) + 1, np.int64)
+            np.add.at(out, doc, np.diff(np.concatenate([[0], np.cumsum(x)])[ends]))
+            return out
+
+        first = rows.filter(rows.column("n_a").is_valid())
+        own = np.asarray(first.column("doc"))
+        sent = [first.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups")]
+        columns = [*sent, *(pa.array(summed(x)[own]) for x in (np.ones(len(link), np.int64), best[link], n[link])), first.column("sha")]
         return pa.table(dict(zip(_DIGEST, columns, strict=True)))
 
-    kept = aligned.drop("pairs").groupBy("slice").cogroup(known.groupBy("own"))
+    kept = aligned.where("doc is not null").drop("k", "pair", "n").groupBy("slice").cogroup(known.groupBy("own"))
     return kept.applyInArrow(sums, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 
 

@@ -64,6 +64,26 @@ def test_alignment_of_odd_texts(spark):
     assert {tuple(r) for r in got} == plain_alignment(rows.items())
 
 
+def test_alignment_sends_narrow_rows(spark):
+    rows = {k: prose(k, 9000) for k in range(4)} | {4: None, 5: "", 6: "a b"}
+    docs = documents(spark, rows).coalesce(1)
+    aligned = align.align(docs)
+    wide = [f"octet_length({c})" for c, kind in aligned.dtypes if kind in ("string", "binary")]
+    assert not [c for c, kind in aligned.dtypes if "<" in kind]
+    assert max(aligned.selectExpr(f"max(greatest({', '.join(wide)}))").first()) <= 16384 < aligned.where("doc is not null").selectExpr("sum(octet_length(links))").first()[0]
+    assert {tuple(r) for r in align.digest(docs).collect()} == plain_alignment(rows.items())
+
+
+def test_alignment_remembers_so_many_bytes(monkeypatch):
+    monkeypatch.setattr(align, "REMEMBERED_BYTES", 50_000, raising=False)
+    both = align.Both(*align.default_paths())
+    for k in range(12):  # pieces without a blank
+        ids, places = both.encode(pa.array([f"{k}" + "字漢é" * 1500]))
+        text = b"".join(both.bytes_a[i] for i in ids[0].tolist())
+        assert text.decode() == f" {k}" + "字漢é" * 1500 and places[0][-1] == len(ids[0])
+        assert sum(len(x if isinstance(x, bytes) else x[0]) for x in both.known) < 70_000
+
+
 def test_alignment_of_repeated_rows_and_no_rows(spark):
     docs = documents(spark, {1: "one two", 2: None})
     assert align.digest(docs.where("false")).count() == 0
